@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import text as T
 
@@ -143,6 +144,10 @@ def jaro_winkler(a: str, b: str) -> float:
 KERNELS = {"ratio": ratio, "wratio": weighted_ratio, "token_set": token_set, "token_sort": token_sort, "jaro_winkler": jaro_winkler}
 
 
+def _struct(*names: str) -> StructType:
+    return StructType([StructField(n, DoubleType()) for n in names])
+
+
 def _scores(a: pd.Series, b: pd.Series, names: list[str]) -> pd.DataFrame:
     known: dict[tuple[str, str], tuple[float, ...]] = {}
     out = []
@@ -153,19 +158,19 @@ def _scores(a: pd.Series, b: pd.Series, names: list[str]) -> pd.DataFrame:
     return pd.DataFrame(out, columns=names)
 
 
-@F.pandas_udf("struct<ratio:double,wratio:double,token_set:double,token_sort:double,jaro_winkler:double>")
+@F.pandas_udf(_struct(*KERNELS))
 def similarities(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """All alignment-based similarities of a pair of columns."""
     return _scores(a, b, list(KERNELS))
 
 
-@F.pandas_udf("struct<ratio:double,wratio:double,token_set:double>")
+@F.pandas_udf(_struct("ratio", "wratio", "token_set"))
 def lexical(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """Those that rank and decide: ratio, weighted ratio and token set."""
     return _scores(a, b, ["ratio", "wratio", "token_set"])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def safe_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return _scores(a, b, ["ratio"])["ratio"]
 
