@@ -9,11 +9,14 @@ window, which is the same place in equal windows wherever they stand. Spark then
 
 1. (name of GRAM bytes, position): unique names leave;
 2. (name, name of the whole stretch of windows that share the position): equal stretches are
-   resolved at once, all but their first are repeats, and a name with only one stretch leaves;
-3. (name of the threshold's bytes, position) of the single windows where a repeat begins or
-   ends, two digests of 64 bits each.
-
-Every pair of equal windows meets in one of these steps, so the result is exact.
+   resolved at once, all but their first are repeats;
+3. (name of GRAM and HALF more bytes, position), to the right and to the left, for the first
+   of each kind of stretch: one of the two is in every window, so what is unique both ways leaves;
+4. (name of the threshold's bytes, position) of the single windows that are left, where a
+   repeat begins or ends, two digests of 64 bits each.
+
+Names from step 2 on are digests of the bytes themselves. Every pair of equal windows meets in
+one of these steps, so the result is exact.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ._common import Workspace, keyed, utf8
@@ -31,6 +35,8 @@ from ._common import Workspace, keyed, utf8
 THRESHOLD, GRAM = 100, 32
 #: Bytes that are ranked at once: bounds a task's memory, and longer texts go in overlapping parts.
 CHUNK = 2 << 20
+#: Windows that are compared with each other before they are sent.
+WINDOWS = 200_000
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
 
@@ -61,13 +67,13 @@ def names(data: np.ndarray) -> np.ndarray:
 
 def anchors(data: np.ndarray, starts: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, ...]:
     """Of bytes that hold texts one after another (starts, and the end last): for each run of
-    windows with the same chosen position its text, that position, first and last window,
-    the position's name and the stretch's name. Positions are those in ``data``.
+    windows with the same chosen position its text, that position, first and last window and
+    the position's name. Positions are those in ``data``.
     """
     empty = np.zeros(0, np.int64)
     n = len(data)
     if n < threshold:
-        return empty, empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty, empty, empty.astype(np.uint64)
     gram = names(data)
     span = threshold - GRAM + 1
     # The leftmost smallest name: position in the low bits, so that ties go left.
@@ -93,13 +99,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, threshold: int = THRESHOLD) ->
     at = np.flatnonzero(new)
     last = window[np.append(at[1:], len(window)) - 1] if len(at) else empty
     lo, place, text = window[at], chosen[at], text[at]
-    end = last + threshold - GRAM  # the last name within the stretch
-    stretch = _join(gram[lo], (place - lo).astype(np.uint64) * B + (last - lo).astype(np.uint64))
-    step = lo.copy()
-    for _ in range(-(-(2 * threshold) // GRAM)):
-        step = np.minimum(step + GRAM, end)
-        stretch = _join(stretch, gram[step])
-    return text, place, lo, last, gram[place], stretch
+    return text, place, lo, last, gram[place]
 
 
 def _chunks(batch: pa.RecordBatch, threshold: int):
@@ -126,53 +126,100 @@ def spans(rows: DataFrame, ws: Workspace, threshold: int = THRESHOLD, text: str
     """(doc, spans): the byte ranges [start, end) to remove of every text that has any, sorted, not merged."""
     raw = rows.where(F.octet_length(text) >= threshold).select(F.col(key).alias("doc"), utf8(text).alias("raw"))
 
-    def ranked(batches):
+    half = (threshold - GRAM) // 2
+
+    def positions(batches):
         for batch in batches:
             for keys, offsets, starts, data in _chunks(batch, threshold):
-                t, place, lo, last, name, stretch = anchors(data, starts, threshold)
-                shift = offsets[t] - starts[t]
+                t, place, lo, last, name = anchors(data, starts, threshold)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[t]), pa.array(lo + shift), pa.array((last - lo).astype(np.int16)), pa.array((place - lo).astype(np.int16)), pa.array(name.view(np.int64)), pa.array(stretch.view(np.int64))],
-                    names=["doc", "lo", "more", "back", "name", "stretch"],
+                    [pa.array(keys[t]), pa.array(lo + offsets[t] - starts[t]), pa.array(((place - lo) << 16 | last - lo).astype(np.int32)), pa.array(name.view(np.int64))], names=["doc", "lo", "shape", "name"]
                 )
 
-    found = ws.save(raw.mapInArrow(ranked, "doc long, lo long, more short, back short, name long, stretch long"), "positions")
+    found = ws.save(raw.mapInArrow(positions, "doc long, lo long, shape int, name long"), "positions")
     repeated = found.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("name")
-    live = ws.save(found.join(repeated, "name", "left_semi").select("doc", "lo", "more", "name", "stretch"), "live")
+    live = ws.save(found.join(repeated, "name", "left_semi").select("doc", "lo", "shape"), "live")
     ws.drop(found)
 
-    place = F.struct("doc", "lo", "more")
-    first = live.groupBy("name", "stretch").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    first = ws.save(first, "stretches")
-    whole = live.join(first.where(F.col("n") > 1).drop("n"), ["name", "stretch"]).where((F.col("doc") != F.col("first.doc")) | (F.col("lo") != F.col("first.lo")))
-    whole = whole.select("doc", F.col("lo").alias("start"), (F.col("lo") + F.col("more") + threshold).alias("end"))
-    mixed = first.groupBy("name").agg(F.count("*").alias("kinds")).where(F.col("kinds") > 1).select("name")
-    edges = first.join(mixed, "name", "left_semi").select("first.*").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("lo", "more"))).alias("runs"))
-    texts = raw.join(edges, "doc")
+    def ranks(batches):
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                docs, los, shapes, names_, stretches, rights, lefts = [], [], [], [], [], [], []
+                for doc, raw, stops in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2)):
+                    lo, shape = (c.to_numpy(zero_copy_only=False) for c in stops.values.flatten())
+                    docs.append(np.full(len(lo), doc))
+                    los.append(lo)
+                    shapes.append(shape)
+                    for first, back, more in zip(lo.tolist(), (shape >> 16).tolist(), (shape & 0xFFFF).tolist()):
+                        place, end = first + back, first + more + threshold
+                        names_.append(digest(raw[place : place + GRAM]))
+                        stretches.append(digest(raw[first:end], back + 1))
+                        rights.append(digest(raw[place : place + GRAM + half]) if place + GRAM + half <= end else 0)
+                        lefts.append(digest(raw[place - half : place + GRAM]) if back >= half else 0)
+                longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (names_, stretches, rights, lefts)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(docs)), pa.array(np.concatenate(los)), pa.array(np.concatenate(shapes)), *longs], names=["doc", "lo", "shape", "name", "stretch", "right", "left"])
+
+    stops = live.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("lo", "shape"))).alias("stops"))
+    ranked = raw.join(stops, "doc").select("doc", "raw", "stops").mapInArrow(ranks, "doc long, lo long, shape int, name long, stretch long, right long, left long")
+    ranked = ws.save(ranked, "ranked")
+    ws.drop(live)
+
+    kinds = ranked.groupBy("name", "stretch").agg(F.min(F.struct("doc", "lo", "shape")).alias("first"), F.count("*").alias("n"), F.min("right").alias("right"), F.min("left").alias("left"))
+    kinds = ws.save(kinds, "stretches")
+    more = F.col("shape").bitwiseAND(F.lit(0xFFFF))
+    whole = ranked.join(kinds.where(F.col("n") > 1).select("name", "stretch", "first"), ["name", "stretch"]).where((F.col("doc") != F.col("first.doc")) | (F.col("lo") != F.col("first.lo")))
+    whole = ws.save(whole.select("doc", F.col("lo").alias("start"), (F.col("lo") + more + threshold).alias("end")), "whole")
+    ws.drop(ranked)
+
+    def shared(side: str) -> DataFrame:
+        again = kinds.where(F.col(side) != 0).groupBy("name", side).agg(F.count("*").alias("k")).where(F.col("k") > 1).select("name", side)
+        return kinds.where(F.col(side) != 0).join(again, ["name", side], "left_semi").select("first.*")
+
+    pivot = F.col("lo") + F.shiftright("shape", 16) - F.lit(half)
+    right = shared("right").select("doc", F.greatest("lo", pivot).alias("lo"), (F.col("lo") + more).alias("to"))
+    left = shared("left").select("doc", "lo", F.least(F.col("lo") + more, pivot).alias("to"))
+    runs = right.unionAll(left).where(F.col("lo") <= F.col("to")).groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("lo", "to"))).alias("runs"))
+    texts = raw.join(runs, "doc").select("doc", "raw", "runs")
+
+    def combined(docs: list, starts: list, digests: bytearray) -> pa.RecordBatch:
+        """The windows with a mark at those that this batch has earlier already (they need no further comparison)."""
+        doc, lo = np.array(docs, np.int64), np.array(starts, np.int64)
+        one, two = np.frombuffer(bytes(digests), np.int64).reshape(-1, 2).T
+        order = np.lexsort((lo, doc, two, one))
+        later = np.zeros(len(doc), bool)
+        later[order[1:]] = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(lo), pa.array(np.ascontiguousarray(one)), pa.array(np.ascontiguousarray(two)), pa.array(later)], names=["doc", "lo", "w1", "w2", "later"])
 
     def windows(batches):
+        digest = xxhash.xxh3_128_digest
+        docs, starts, digests = [], [], bytearray()
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                docs, starts, one, two = [], [], [], []
                 for row in batch.slice(at, 64).to_pylist():
                     raw, done = row["raw"], -1
                     for run in row["runs"]:
-                        for s in range(max(run["lo"], done + 1), run["lo"] + run["more"] + 1):
-                            digest = xxhash.xxh3_128_intdigest(raw[s : s + threshold])
-                            docs.append(row["doc"])
+                        for s in range(max(run["lo"], done + 1), run["to"] + 1):
+                            digests += digest(raw[s : s + threshold])
                             starts.append(s)
-                            one.append(digest >> 64)
-                            two.append(digest & 0xFFFFFFFFFFFFFFFF)
                             done = s
-                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(starts, pa.int64()), pa.array(np.array(one, np.uint64).view(np.int64)), pa.array(np.array(two, np.uint64).view(np.int64))], names=["doc", "lo", "w1", "w2"])
-
-    single = ws.save(texts.mapInArrow(windows, "doc long, lo long, w1 long, w2 long"), "windows")
-    lead = single.groupBy("w1", "w2").agg(F.min(F.struct("doc", "lo")).alias("first"), F.count("*").alias("n")).where(F.col("n") > 1).drop("n")
-    later = single.join(lead, ["w1", "w2"]).where((F.col("doc") != F.col("first.doc")) | (F.col("lo") != F.col("first.lo")))
-    later = later.select("doc", F.col("lo").alias("start"), (F.col("lo") + threshold).alias("end"))
+                    docs.extend([row["doc"]] * (len(starts) - len(docs)))
+                if len(starts) >= WINDOWS:
+                    yield combined(docs, starts, digests)
+                    docs, starts, digests = [], [], bytearray()
+        if starts:
+            yield combined(docs, starts, digests)
+
+    # What is known to be later is dealt out by itself, so that a passage in very many texts meets once a batch.
+    single = texts.mapInArrow(windows, "doc long, lo long, w1 long, w2 long, later boolean")
+    single = single.withColumn("deal", F.when(F.col("later"), F.xxhash64("doc", "lo")).otherwise(F.lit(0)))
+    place = F.row_number().over(W.partitionBy("w1", "w2", "deal").orderBy("doc", "lo"))
+    later = single.withColumn("place", place).where(F.col("later") | (F.col("place") > 1))
+    later = ws.save(later.select("doc", F.col("lo").alias("start"), (F.col("lo") + threshold).alias("end")), "later")
     out = whole.unionAll(later).groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     out = ws.save(out, "spans")
-    ws.drop(live, first, single)
+    ws.drop(kinds, whole, later)
     return out
 
 
