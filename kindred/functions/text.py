@@ -94,4 +94,4 @@ def length_difference(a: Column | str, b: Column | str) -> Column:
 
 def id_list(text: Column | str) -> Column:
     """The non-empty ids of a comma list, each once."""
-    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(_column(text), F.lit("")), ","), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.split(F.coalesce(_column(text), F.lit("")), ","), lambda x: x != ""))
