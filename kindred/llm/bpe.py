@@ -11,9 +11,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -27,6 +27,8 @@ TRIE_WORDS = 20_000
 SEPARATORS = regex.compile(f"[{SPACE}]+")
 #: Characters that Python's split() takes for white space and the tokenizer doesn't.
 NOT_SPACE = regex.compile("[\x1c-\x1f]")
+#: Marks that are words of their own after a word of letters.
+PLAIN_ENDS = tuple(".,;:!?")
 
 
 def byte_letters() -> list[str]:
@@ -158,18 +160,28 @@ class WordBpe:
             if text in self.special:
                 out.append(self.special[text])
                 continue
-            low = text.lower() if text.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", text))
-            for word in self.words.findall(low):
+            if not text.isascii():
+                text = unicodedata.normalize("NFC", text)
+            # Letter by letter only where str.lower() looks at a letter's neighbours.
+            low = "".join([c.lower() for c in text]) if "Σ" in text else text.lower()
+            if low.isalpha():
+                found = [low]
+            elif low[-1:] in PLAIN_ENDS and low[:-1].isalpha():
+                found = [low[:-1], low[-1]]
+            else:
+                found = self.words.findall(low)
+            for word in found:
                 out.append(word if word.isascii() and word.isprintable() else "".join(self.letters[b] for b in word.encode()))
         return out
 
     def learn(self, parts: list[str]) -> None:
+        names = self.names
         for at in range(0, len(parts), TRIE_WORDS):
             cut = {part: self.pieces(part) for part in parts[at : at + TRIE_WORDS]}
             ids = self.encode_words(sorted({w for words in cut.values() for w in words if isinstance(w, str)}))
             for part, words in cut.items():
                 found = [i for w in words for i in (ids[w] if isinstance(w, str) else (w,))]
-                self.parts[part] = (np.array(found, "<u4").tobytes(), " ".join([self.names[i] for i in found]))
+                self.parts[part] = (struct.pack(f"<{len(found)}I", *found), " ".join([names[i] for i in found]))
 
     def encode(self, texts: list[str]) -> list[list[tuple[bytes, str]]]:
         """For each text the ids and the decoded strings of its parts between white space."""
