@@ -99,10 +99,12 @@ def vote(model: Model, rows: np.ndarray, neighbours: int = NEIGHBOURS) -> np.nda
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Model | None:
     """A model of at most ``sample`` labelled rows of each label, chosen by a hash of the id.
 
-    Rows whose crc32(doc_id as text) mod 5 is 0 are held out. Null labels and ids are left out. Without any
+    Rows whose crc32(doc_id as text) mod 5 is 0 are held out. Null labels and ids are left out, of several
+    labels of an id the least counts, and of several texts one. Without any
     labelled row there is no model, and every score is 0.5.
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id))).select(F.col(doc_id).alias("__k_id"), F.col(label).cast("int").alias("__k_label")).dropDuplicates(["__k_id"])
+    known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id))).select(F.col(doc_id).alias("__k_id"), F.col(label).cast("int").alias("__k_label"))
+    known = known.groupBy("__k_id").agg(F.min("__k_label").alias("__k_label"))
     order = [F.xxhash64("__k_id", F.lit("sample")), F.col("__k_id")]
     chosen = [known.where(F.col("__k_label") == y).orderBy(*order).limit(sample) for y in (0, 1)]
     rows = docs.select(F.col(doc_id).alias("id"), utf8(text).alias("raw")).join(F.broadcast(chosen[0].unionAll(chosen[1])), F.col("id") == F.col("__k_id"))
@@ -111,8 +113,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([terms(r).tobytes() for r in batch.column(2).to_pylist()], pa.binary())], names=["id", "label", "terms"])
 
     kind = dict(docs.dtypes)[doc_id]
-    found = map_arrow(rows.select("id", F.col("__k_label").alias("label"), "raw"), of, f"id {kind}, label int, terms binary").dropDuplicates(["id"])
-    got = found.orderBy("id").toArrow()
+    found = map_arrow(rows.select("id", F.col("__k_label").alias("label"), "raw"), of, f"id {kind}, label int, terms binary")
+    got = found.groupBy("id").agg(F.min(F.struct("label", "terms")).alias("row")).select("id", "row.*").orderBy("id").toArrow()
     if not got.num_rows:
         return None
     matrix = np.stack([np.frombuffer(t.as_buffer(), np.float32) for t in got.column("terms")])
