@@ -21,7 +21,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import Workspace, keyed, map_arrow, utf8
@@ -145,6 +145,10 @@ class Wide(NamedTuple):
     farthest: float = 0.2  # share of differing bits beyond which a candidate isn't looked at
 
 
+#: Bits of 32 that near copies may differ in: 4.9 are expected at a similarity of 0.8, 16 by chance.
+TASTE = 13
+
+
 def _remix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -195,81 +199,116 @@ def _segment_keys(values: np.ndarray, bits: int) -> np.ndarray:
     return (np.arange(values.shape[0])[:, None] << bits | values).reshape(-1)
 
 
+def _apart(left: str, right: str, words: int) -> Column:
+    """How many bits two long fingerprints, in columns of 64 bits, differ in."""
+    out = F.lit(0)
+    for w in range(words):
+        out = out + F.bit_count(F.col(f"{left}{w}").bitwiseXOR(F.col(f"{right}{w}")))
+    return out
+
+
 def near_copies(rows: DataFrame, ws: Workspace, key: str, text: str = "text", width: int = 5, similarity: float = 0.8, shape: Wide = Wide()) -> DataFrame:
     """(id, root): every row that has a near copy, with the smallest row key among its linked ones; roots excepted.
 
     Near copies are texts whose sets of ``width``-word shingles have a Jaccard similarity of
     ``similarity`` or more; candidates come from multi-index hashing, and every link is verified
     on the shingles. Texts of equal fingerprints are one node. A bucket's members are first
-    compared with its smallest member only. Members that this joins into one component need no
-    further comparison; the rest of a bucket is compared with all its members. So a bucket of
-    very many near copies costs as many rows as members, and no link that joins two components
-    is left out. Null and empty texts are one group each: equal texts are copies.
+    compared with its most central member only (the one that shares most segments with others),
+    those that own the bucket's value before those that probe it.
+    Members that this joins into one component need no further comparison; the rest of a bucket
+    is compared with all its members. So a bucket of very many near copies costs about as many
+    rows as members, and no link that joins two components is left out. Null and empty texts are
+    one group each: equal texts are copies.
     """
+    words = shape.segments * shape.bits // 64
+    prints_names = [f"f{w}" for w in range(words)]
+    far = int(shape.farthest * shape.segments * shape.bits)
+
     def hashed(batches):
         for batch in batches:
-            seen: dict[bytes, bytes] = {}
-            out = []
-            for raw in batch.column(1).to_pylist():
-                if raw not in seen:
-                    seen[raw] = wide_row(raw, width, shape)
-                out.append(seen[raw])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f for f, _ in out], pa.binary()), pa.array([_segment_keys(p, shape.bits) for _, p in out], pa.list_(pa.int64()))], names=["id", "fp", "probes"]
-            )
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                seen: dict[bytes, tuple] = {}
+                out = []
+                for raw in part.column(1).to_pylist():
+                    if raw not in seen:
+                        seen[raw] = wide_row(raw, width, shape)
+                    out.append(seen[raw])
+                fps = np.frombuffer(b"".join(f for f, _ in out), np.int64).reshape(len(out), words)
+                probes = pa.array([_segment_keys(p, shape.bits) for _, p in out], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(np.ascontiguousarray(fps[:, w])) for w in range(words)), probes], names=["id", *prints_names, "probes"])
 
     source = rows.select(F.col(key).alias("id"), utf8(text).alias("raw"))
-    prints = ws.save(source.mapInArrow(hashed, "id long, fp binary, probes array<long>"), "wide")
-    same = prints.groupBy("fp").agg(F.min("id").alias("node"))
-    members = ws.save(prints.select("id", "fp").join(same, "fp").select("id", "node", "fp"), "members")
-    nodes = prints.join(members.where("id = node").select("id"), "id", "left_semi").select(F.col("id").alias("node"), "fp", "probes")
+    prints = ws.save(source.mapInArrow(hashed, f"id long, {', '.join(f'{n} long' for n in prints_names)}, probes array<long>"), "wide")
+    same = prints.groupBy(*prints_names).agg(F.min("id").alias("node"))
+    members = ws.save(prints.select("id", *prints_names).join(same, prints_names).select("id", "node", *prints_names), "members")
+    prints_of = members.where("id = node").select("node", *prints_names)
+    nodes = prints.join(prints_of.select("node"), F.col("id") == F.col("node"), "left_semi")
+    # A few bits of the fingerprint go with every row, so that most chance meetings end in the join.
+    taste = F.col(prints_names[-1]).bitwiseAND(F.lit(0xFFFFFFFF)).cast("long").alias("s")
     every = shape.probes
-    owners = nodes.select(F.explode(F.expr(f"filter(probes, (x, i) -> i % {every} = 0)")).alias("k"), "node", "fp")
-    reps = owners.groupBy("k").agg(F.min(F.struct("node", "fp")).alias("rep"), F.count("*").alias("n"))
-    probes = nodes.select(F.explode("probes").alias("k"), "node")
-    # Buckets of one owner that only this owner probes are most of the table, and fall out in the join.
-    met = ws.save(probes.join(reps, "k").where(F.col("node") != F.col("rep.node")).select("k", "node", F.col("rep.node").alias("rep"), "n"), "met")
-    prints_of = members.where("id = node").select("node", "fp")
-    links = _similar(met.select(F.greatest("node", "rep").alias("u"), F.least("node", "rep").alias("v")), rows, prints_of, ws, key, text, width, similarity, shape)
-    roots = ws.save(components(links, ws), "roots")
+    owners = nodes.select(F.col("id").alias("node"), taste, F.explode(F.expr(f"filter(probes, (x, i) -> i % {every} = 0)")).alias("k"))
+    sizes = owners.groupBy("k").agg(F.count("*").alias("n"))
+    crowded = ws.save(sizes.where("n > 1"), "crowded")
+    central = owners.join(crowded, "k").groupBy("node").agg(F.sum("n").alias("weight")).withColumnRenamed("node", "cn")
+    weighed = owners.join(central, F.col("node") == F.col("cn"), "left").select("k", "node", "s", F.coalesce("weight", F.lit(0)).alias("weight"))
+    reps = weighed.groupBy("k").agg(F.max(F.struct("weight", -F.col("node"), F.col("node").alias("rep"), F.col("s").alias("rs"))).alias("best")).select("k", "best.rep", "best.rs")
+    alike = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= TASTE
+    side = lambda x: prints_of.select(F.col("node").alias(x), *(F.col(n).alias(f"{x}{i}") for i, n in enumerate(prints_names)))
+
+    def linked(met: DataFrame) -> DataFrame:
+        """The links among the pairs (node, rep)."""
+        pairs = ws.save(met.select(F.greatest("node", "rep").alias("u"), F.least("node", "rep").alias("v")).distinct(), "met")
+        near = pairs.join(side("u"), "u").join(side("v"), "v").where(_apart("u", "v", words) <= far).select("u", "v")
+        found = _similar(near, rows, ws, key, text, width, similarity)
+        ws.drop(pairs)
+        return found
+
+    # First the owners of a bucket, then, of those that probe it, the ones that this hasn't joined to its centre.
+    reps = ws.save(reps, "reps")
+    own = owners.join(reps.withColumnRenamed("k", "rk"), (F.col("k") == F.col("rk")) & (F.col("node") != F.col("rep")) & alike("s", "rs"))
+    first = linked(own)
+    roots = ws.save(components(first, ws), "first-roots").withColumnRenamed("node", "rn")
+    of_rep = roots.select(F.col("rn").alias("rep_"), F.col("root").alias("reproot_"))
+    reps_rooted = reps.join(of_rep, F.col("rep") == F.col("rep_"), "left").select(F.col("k").alias("rk"), "rep", "rs", F.coalesce("reproot_", "rep").alias("reproot"))
+    asked = nodes.join(roots, F.col("id") == F.col("rn"), "left").select(F.col("id").alias("node"), F.coalesce("root", "id").alias("root"), taste, "probes")
+    probing = asked.select("node", "root", "s", F.explode("probes").alias("k"))
+    second = linked(probing.join(reps_rooted, (F.col("k") == F.col("rk")) & (F.col("root") != F.col("reproot")) & alike("s", "rs")))
+    links = first.unionAll(second)
+    roots = ws.save(components(links, ws), "roots").withColumnRenamed("node", "rn")
+    probes = nodes.select(F.col("id").alias("node"), F.explode("probes").alias("k"))
 
     # What else meets in buckets of two or more owners, unless one component holds it already.
-    crowded = met.where(F.col("n") > 1).select("k").distinct()
-    label = lambda df: df.join(roots.withColumnRenamed("node", "rn"), F.col("node") == F.col("rn"), "left").select("k", "node", F.coalesce("root", "node").alias("root"))
-    inside = ws.save(label(owners.select("k", "node").join(crowded, "k", "left_semi")), "inside")
-    asking = ws.save(label(probes.join(crowded, "k", "left_semi")), "asking")
-    sizes = inside.groupBy("k", "root").agg(F.count("*").alias("c")).groupBy("k").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("kinds"))
-    o = inside.join(sizes, "k").select("k", F.col("node").alias("on"), F.col("root").alias("oroot"), (F.col("root") != F.col("main")).alias("odd"))
-    p = asking.join(sizes, "k").select(F.col("k").alias("pk"), "node", "root", (F.col("root") != F.col("main")).alias("podd"))
+    known = prints_of.join(roots, F.col("node") == F.col("rn"), "left").select("node", F.coalesce("root", "node").alias("root"), *prints_names)
+    known = ws.save(known, "known")
+    full = lambda df: df.select("k", "node").join(crowded.select("k"), "k", "left_semi").join(known, "node")
+    inside = ws.save(full(owners), "inside")
+    counts = inside.groupBy("k", "root").agg(F.count("*").alias("c")).groupBy("k").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
+    asking = full(probes)
+    owner = inside.join(counts, "k").select(F.col("k").alias("ok"), F.col("node").alias("v"), F.col("root").alias("vroot"), (F.col("root") != F.col("main")).alias("vodd"), *(F.col(n).alias(f"v{i}") for i, n in enumerate(prints_names)))
+    asker = asking.join(counts, "k").select("k", F.col("node").alias("u"), "root", (F.col("root") != F.col("main")).alias("odd"), *(F.col(n).alias(f"u{i}") for i, n in enumerate(prints_names)))
+    asker = ws.save(asker, "asking")
     # Rows of the bucket's main component don't meet each other.
-    rest = p.where("podd").join(o, F.col("pk") == F.col("k")).where(F.col("root") != F.col("oroot")).select("node", "on")
-    rest = rest.unionAll(p.where("not podd").join(o.where("odd"), F.col("pk") == F.col("k")).where(F.col("root") != F.col("oroot")).select("node", "on"))
-    more = _similar(rest.select(F.greatest("node", "on").alias("u"), F.least("node", "on").alias("v")), rows, prints_of, ws, key, text, width, similarity, shape)
+    meets = (F.col("k") == F.col("ok")) & (F.col("root") != F.col("vroot")) & (_apart("u", "v", words) <= far)
+    rest = asker.where("odd").join(owner, meets).select("u", "v").unionAll(asker.where("not odd").join(owner.where("vodd"), meets).select("u", "v"))
+    rest = ws.save(rest.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "rest")
+    more = _similar(rest, rows, ws, key, text, width, similarity)
     joined = components(links.unionAll(more), ws)
-    ws.drop(met, inside, asking, prints)
+    ws.drop(inside, asker, prints, rest, known)
     return members.join(joined.withColumnRenamed("node", "jn"), F.col("node") == F.col("jn"), "left").select("id", F.coalesce("root", "node").alias("root")).where("id <> root")
 
 
-def _similar(pairs: DataFrame, rows: DataFrame, prints_of: DataFrame, ws: Workspace, key: str, text: str, width: int, similarity: float, shape: Wide) -> DataFrame:
-    """The pairs (u, v) whose complete fingerprints are near and whose shingle sets are similar."""
-    side = lambda x: prints_of.select(F.col("node").alias(x), F.col("fp").alias(f"f{x}"))
-    both = pairs.distinct().join(side("u"), "u").join(side("v"), "v")
-    limit = int(shape.farthest * shape.segments * shape.bits)
-
-    def close(batches):
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
-            near = np.bitwise_count(a ^ b).sum(axis=1) <= limit
-            part = batch.filter(pa.array(near))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["u", "v"])
-
-    near = ws.save(both.select("u", "v", "fu", "fv").mapInArrow(close, "u long, v long"), "near")
+def _similar(near: DataFrame, rows: DataFrame, ws: Workspace, key: str, text: str, width: int, similarity: float) -> DataFrame:
+    """Those of the pairs (u, v) whose shingle sets are similar."""
+    near = ws.save(near, "near")
     wanted = near.select(F.col("u").alias("w")).unionAll(near.select("v")).distinct()
 
     def sets(batches):
         for batch in batches:
-            found = [np.unique(shingle_hashes(raw, width)).view(np.int64) for raw in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "s"])
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                found = [np.unique(shingle_hashes(raw, width)).view(np.int64) for raw in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "s"])
 
     source = rows.select(F.col(key).alias("id"), utf8(text).alias("raw"))
     shingles = ws.save(source.join(wanted, F.col("id") == F.col("w"), "left_semi").mapInArrow(sets, "id long, s array<long>"), "shingles")
