@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: In force while a table is written: it replaces the step's shuffle files, and Python gets whole
+#: texts in batches that a worker can hold several times over.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,15 +46,17 @@ class Workspace:
     def save(self, df: DataFrame, label: str) -> DataFrame:
         path = f"{self.root}/{self.count:03d}-{label}"
         self.count += 1
-        before = self.spark.conf.get(FILE_CLEANUP, None)
-        self.spark.conf.set(FILE_CLEANUP, "true")  # the written table replaces the step's shuffle files
+        held = {name: self.spark.conf.get(name, None) for name in WRITING}
+        for name, value in WRITING.items():
+            self.spark.conf.set(name, value)
         try:
             df.write.parquet(path)
         finally:
-            if before is None:
-                self.spark.conf.unset(FILE_CLEANUP)
-            else:
-                self.spark.conf.set(FILE_CLEANUP, before)
+            for name, value in held.items():
+                if value is None:
+                    self.spark.conf.unset(name)
+                else:
+                    self.spark.conf.set(name, value)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._kindred_path = path
         return out

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
 #: Beyond these characters the two libraries' Unicode tables could differ.
 RARE = re.compile("[^\0-ɏ‐-‧]")
-CACHE = 300_000
+CACHE = 150_000
 END_ID = 1
 SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 

@@ -34,9 +34,9 @@ from ._common import Workspace, keyed, utf8
 
 THRESHOLD, GRAM = 100, 32
 #: Bytes that are ranked at once: bounds a task's memory, and longer texts go in overlapping parts.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 #: Windows that are compared with each other before they are sent.
-WINDOWS = 200_000
+WINDOWS = 100_000
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
 
