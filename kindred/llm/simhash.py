@@ -16,7 +16,7 @@ fingerprints, and needs no cap.
 
 from __future__ import annotations
 
-from typing import NamedTuple
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -130,29 +130,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 # Near copies by similarity ------------------------------------------------------------------
 
 
-class Wide(NamedTuple):
-    """The long fingerprints that find shingle sets of a similarity, and how their segments are probed.
-
-    At Jaccard 0.8 a bit of two SimHashes differs with probability 0.152. A segment's ball is
-    walked from its likeliest points: those that flip bits whose counts were nearest the half.
-    Of 300 pairs of test documents with similarity 0.80 to 0.82, 99.3 % met in a segment.
-    """
-
-    segments: int = 16
-    bits: int = 24
-    loose: int = 6  # bits of a segment that may be flipped
-    probes: int = 16
-    farthest: float = 0.2  # share of differing bits beyond which a candidate isn't looked at
-
-
-#: Bits of 32 that near copies may differ in: 4.9 are expected at a similarity of 0.8, 16 by chance.
-TASTE = 13
-
-
-def _remix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+#: Longs of a parity bitmap: bit i says whether an odd number of a set's hashes end in i. Two sets
+#: differ in at least as many members as their bitmaps do in bits.
+PARITY = 32
 
 
 def shingle_hashes(raw: bytes, width: int) -> np.ndarray:
@@ -169,60 +149,56 @@ def shingle_hashes(raw: bytes, width: int) -> np.ndarray:
     return np.fromiter((digest(joined[s:e], 42) for s, e in zip(starts[:n].tolist(), last.tolist())), np.uint64, n)
 
 
-def margins(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """For each bit of a long fingerprint, by how much the set ones outnumber the others."""
-    words = -(-bits // 64)
-    out = np.zeros(words * 64, np.int64)
-    for w in range(words):
-        salt = np.uint64((w * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
-        for at in range(0, len(hashes), BLOCK):
-            mixed = _remix(hashes[at : at + BLOCK] + salt)
-            out[64 * w : 64 * w + 64] += np.unpackbits(mixed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return (2 * out - len(hashes))[:bits]
+def at_least(share: float, n: int) -> int:
+    """The smallest whole number that is ``share`` of n or more."""
+    return math.ceil(share * n - 1e-9)
 
 
-def wide_row(raw: bytes, width: int, shape: Wide) -> tuple[bytes, np.ndarray]:
-    """The packed fingerprint, and the probes of each segment (segments x probes), the segment itself first."""
-    margin = margins(np.unique(shingle_hashes(raw, width)), shape.segments * shape.bits).reshape(shape.segments, shape.bits)
-    bits = margin > 0
-    own = (bits * (1 << np.arange(shape.bits))).sum(axis=1)
-    size = np.abs(margin)
-    loose = np.argsort(size, axis=1, kind="stable")[:, : shape.loose]
-    cost = np.take_along_axis(size, loose, axis=1).astype(np.float64) ** 2
-    subsets = (np.arange(1 << shape.loose)[:, None] >> np.arange(shape.loose)) & 1
-    best = np.argsort(cost @ subsets.T, axis=1, kind="stable")[:, : shape.probes]
-    flips = (subsets[None] * (1 << loose)[:, None, :]).sum(axis=2)
-    return np.packbits(bits.reshape(-1)).tobytes(), own[:, None] ^ np.take_along_axis(flips, best, axis=1)
+def signature(raw: bytes, width: int, similarity: float) -> tuple[bytes, int, bytes, np.ndarray, int]:
+    """Of a text's set of shingles: digest, size, parity bitmap, the keys that it probes, how many of them it owns.
+
+    Sets in the order of their hashes that share ``o`` members share one among the first
+    ``size - o + 1`` of each. A set of n shares at least ``similarity * n`` with a similar one,
+    and ``2 * similarity / (1 + similarity) * n`` with one that isn't smaller. So of two
+    similar sets the larger one probes a key that the smaller one owns.
+    """
+    found = np.unique(shingle_hashes(raw, width))
+    n = len(found)
+    odd = np.bincount((found & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+    parity = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    probed = n and n - at_least(similarity, n) + 1
+    owned = n and n - at_least(2 * similarity / (1 + similarity), n) + 1
+    return xxhash.xxh3_128_digest(found.tobytes()), n, parity, found[:probed].view(np.int64), owned
 
 
-def _segment_keys(values: np.ndarray, bits: int) -> np.ndarray:
-    return (np.arange(values.shape[0])[:, None] << bits | values).reshape(-1)
+def _may_be_similar(n: str, m: str, differ: Column, similarity: float) -> Column:
+    """Whether sets of these sizes that differ in so many members at least can be similar."""
+    n, m = F.col(n), F.col(m)
+    return (F.least(n, m) >= F.lit(similarity) * F.greatest(n, m)) & (differ <= F.lit((1 - similarity) / (1 + similarity)) * (n + m) + F.lit(1e-6))
 
 
 def _apart(left: str, right: str, words: int) -> Column:
-    """How many bits two long fingerprints, in columns of 64 bits, differ in."""
+    """How many bits two bitmaps, in columns of 64 bits, differ in."""
     out = F.lit(0)
     for w in range(words):
         out = out + F.bit_count(F.col(f"{left}{w}").bitwiseXOR(F.col(f"{right}{w}")))
     return out
 
 
-def near_copies(rows: DataFrame, ws: Workspace, key: str, text: str = "text", width: int = 5, similarity: float = 0.8, shape: Wide = Wide()) -> DataFrame:
+def near_copies(rows: DataFrame, ws: Workspace, key: str, text: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, root): every row that has a near copy, with the smallest row key among its linked ones; roots excepted.
 
     Near copies are texts whose sets of ``width``-word shingles have a Jaccard similarity of
-    ``similarity`` or more; candidates come from multi-index hashing, and every link is verified
-    on the shingles. Texts of equal fingerprints are one node. A bucket's members are first
-    compared with its most central member only (the one that shares most segments with others),
-    those that own the bucket's value before those that probe it.
+    ``similarity`` or more; candidates share a shingle of their prefixes (``signature``), which all
+    such pairs do, and every link is verified on the shingles. Texts of equal sets are one node. A
+    bucket's members are first compared with its most central member only (the one that shares most
+    keys with others), those that own the bucket's key before those that probe it.
     Members that this joins into one component need no further comparison; the rest of a bucket
     is compared with all its members. So a bucket of very many near copies costs about as many
     rows as members, and no link that joins two components is left out. Null and empty texts are
     one group each: equal texts are copies.
     """
-    words = shape.segments * shape.bits // 64
-    prints_names = [f"f{w}" for w in range(words)]
-    far = int(shape.farthest * shape.segments * shape.bits)
+    names = [f"f{w}" for w in range(PARITY)]
 
     def hashed(batches):
         for batch in batches:
@@ -232,64 +208,69 @@ def near_copies(rows: DataFrame, ws: Workspace, key: str, text: str = "text", wi
                 out = []
                 for raw in part.column(1).to_pylist():
                     if raw not in seen:
-                        seen[raw] = wide_row(raw, width, shape)
+                        seen[raw] = signature(raw, width, similarity)
                     out.append(seen[raw])
-                fps = np.frombuffer(b"".join(f for f, _ in out), np.int64).reshape(len(out), words)
-                probes = pa.array([_segment_keys(p, shape.bits) for _, p in out], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(np.ascontiguousarray(fps[:, w])) for w in range(words)), probes], names=["id", *prints_names, "probes"])
+                digests = np.frombuffer(b"".join(x[0] for x in out), np.int64).reshape(len(out), 2)
+                parity = np.frombuffer(b"".join(x[2] for x in out), np.int64).reshape(len(out), PARITY)
+                columns = [digests[:, 0], digests[:, 1], np.array([x[1] for x in out]), *(parity[:, w] for w in range(PARITY))]
+                probes = pa.array([x[3] for x in out], pa.list_(pa.int64()))
+                owned = pa.array([x[4] for x in out], pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(np.ascontiguousarray(c)) for c in columns), probes, owned], names=["id", "d0", "d1", "size", *names, "probes", "owned"])
 
     source = rows.select(F.col(key).alias("id"), utf8(text).alias("raw"))
-    prints = ws.save(source.mapInArrow(hashed, f"id long, {', '.join(f'{n} long' for n in prints_names)}, probes array<long>"), "wide")
-    same = prints.groupBy(*prints_names).agg(F.min("id").alias("node"))
-    members = ws.save(prints.select("id", *prints_names).join(same, prints_names).select("id", "node", *prints_names), "members")
-    prints_of = members.where("id = node").select("node", *prints_names)
+    prints = ws.save(source.mapInArrow(hashed, f"id long, d0 long, d1 long, size long, {', '.join(f'{n} long' for n in names)}, probes array<long>, owned int"), "prints")
+    same = prints.groupBy("d0", "d1").agg(F.min("id").alias("node"))
+    members = ws.save(prints.select("id", "d0", "d1", "size", *names).join(same, ["d0", "d1"]).select("id", "node", "size", *names), "members")
+    prints_of = members.where("id = node").select("node", "size", *names)
     nodes = prints.join(prints_of.select("node"), F.col("id") == F.col("node"), "left_semi")
-    # A few bits of the fingerprint go with every row, so that most chance meetings end in the join.
-    taste = F.col(prints_names[-1]).bitwiseAND(F.lit(0xFFFFFFFF)).cast("long").alias("s")
-    every = shape.probes
-    owners = nodes.select(F.col("id").alias("node"), taste, F.explode(F.expr(f"filter(probes, (x, i) -> i % {every} = 0)")).alias("k"))
+    # The bitmap folded to 64 bits goes with every row, so that most chance meetings of short texts end in the join.
+    taste = F.expr(" ^ ".join(names)).alias("s")
+    owners = nodes.select(F.col("id").alias("node"), "size", taste, F.explode(F.expr("slice(probes, 1, owned)")).alias("k"))
     sizes = owners.groupBy("k").agg(F.count("*").alias("n"))
     crowded = ws.save(sizes.where("n > 1"), "crowded")
     central = owners.join(crowded, "k").groupBy("node").agg(F.sum("n").alias("weight")).withColumnRenamed("node", "cn")
-    weighed = owners.join(central, F.col("node") == F.col("cn"), "left").select("k", "node", "s", F.coalesce("weight", F.lit(0)).alias("weight"))
-    reps = weighed.groupBy("k").agg(F.max(F.struct("weight", -F.col("node"), F.col("node").alias("rep"), F.col("s").alias("rs"))).alias("best")).select("k", "best.rep", "best.rs")
-    alike = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= TASTE
-    side = lambda x: prints_of.select(F.col("node").alias(x), *(F.col(n).alias(f"{x}{i}") for i, n in enumerate(prints_names)))
+    weighed = owners.join(central, F.col("node") == F.col("cn"), "left").select("k", "node", "size", "s", F.coalesce("weight", F.lit(0)).alias("weight"))
+    reps = weighed.groupBy("k").agg(F.max(F.struct("weight", -F.col("node"), F.col("node").alias("rep"), F.col("size").alias("rsize"), F.col("s").alias("rs"))).alias("best")).select("k", "best.rep", "best.rsize", "best.rs")
+    alike = _may_be_similar("size", "rsize", F.bit_count(F.col("s").bitwiseXOR(F.col("rs"))), similarity)
+    close = _may_be_similar("usize", "vsize", _apart("u", "v", PARITY), similarity)
+    side = lambda x: prints_of.select(F.col("node").alias(x), F.col("size").alias(f"{x}size"), *(F.col(n).alias(f"{x}{i}") for i, n in enumerate(names)))
 
     def linked(met: DataFrame) -> DataFrame:
         """The links among the pairs (node, rep)."""
         pairs = ws.save(met.select(F.greatest("node", "rep").alias("u"), F.least("node", "rep").alias("v")).distinct(), "met")
-        near = pairs.join(side("u"), "u").join(side("v"), "v").where(_apart("u", "v", words) <= far).select("u", "v")
+        near = pairs.join(side("u"), "u").join(side("v"), "v").where(close).select("u", "v")
         found = _similar(near, rows, ws, key, text, width, similarity)
         ws.drop(pairs)
         return found
 
     # First the owners of a bucket, then, of those that probe it, the ones that this hasn't joined to its centre.
     reps = ws.save(reps, "reps")
-    own = owners.join(reps.withColumnRenamed("k", "rk"), (F.col("k") == F.col("rk")) & (F.col("node") != F.col("rep")) & alike("s", "rs"))
+    own = owners.join(reps.withColumnRenamed("k", "rk"), (F.col("k") == F.col("rk")) & (F.col("node") != F.col("rep")) & alike)
     first = linked(own)
     roots = ws.save(components(first, ws), "first-roots").withColumnRenamed("node", "rn")
     of_rep = roots.select(F.col("rn").alias("rep_"), F.col("root").alias("reproot_"))
-    reps_rooted = reps.join(of_rep, F.col("rep") == F.col("rep_"), "left").select(F.col("k").alias("rk"), "rep", "rs", F.coalesce("reproot_", "rep").alias("reproot"))
-    asked = nodes.join(roots, F.col("id") == F.col("rn"), "left").select(F.col("id").alias("node"), F.coalesce("root", "id").alias("root"), taste, "probes")
-    probing = asked.select("node", "root", "s", F.explode("probes").alias("k"))
-    second = linked(probing.join(reps_rooted, (F.col("k") == F.col("rk")) & (F.col("root") != F.col("reproot")) & alike("s", "rs")))
+    reps_rooted = reps.join(of_rep, F.col("rep") == F.col("rep_"), "left").select(F.col("k").alias("rk"), "rep", "rsize", "rs", F.coalesce("reproot_", "rep").alias("reproot"))
+    asked = nodes.join(roots, F.col("id") == F.col("rn"), "left").select(F.col("id").alias("node"), F.coalesce("root", "id").alias("root"), "size", taste, "probes")
+    probing = asked.select("node", "root", "size", "s", F.explode("probes").alias("k"))
+    second = linked(probing.join(reps_rooted, (F.col("k") == F.col("rk")) & (F.col("root") != F.col("reproot")) & alike))
     links = first.unionAll(second)
     roots = ws.save(components(links, ws), "roots").withColumnRenamed("node", "rn")
     probes = nodes.select(F.col("id").alias("node"), F.explode("probes").alias("k"))
 
     # What else meets in buckets of two or more owners, unless one component holds it already.
-    known = prints_of.join(roots, F.col("node") == F.col("rn"), "left").select("node", F.coalesce("root", "node").alias("root"), *prints_names)
+    known = prints_of.join(roots, F.col("node") == F.col("rn"), "left").select("node", F.coalesce("root", "node").alias("root"), "size", *names)
     known = ws.save(known, "known")
-    full = lambda df: df.select("k", "node").join(crowded.select("k"), "k", "left_semi").join(known, "node")
+    rooted = probes.join(crowded.select("k"), "k", "left_semi").join(known.select("node", "root"), "node")
+    mixed = ws.save(rooted.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("k"), "mixed")
+    full = lambda df: df.select("k", "node").join(mixed, "k", "left_semi").join(known, "node")
     inside = ws.save(full(owners), "inside")
     counts = inside.groupBy("k", "root").agg(F.count("*").alias("c")).groupBy("k").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
     asking = full(probes)
-    owner = inside.join(counts, "k").select(F.col("k").alias("ok"), F.col("node").alias("v"), F.col("root").alias("vroot"), (F.col("root") != F.col("main")).alias("vodd"), *(F.col(n).alias(f"v{i}") for i, n in enumerate(prints_names)))
-    asker = asking.join(counts, "k").select("k", F.col("node").alias("u"), "root", (F.col("root") != F.col("main")).alias("odd"), *(F.col(n).alias(f"u{i}") for i, n in enumerate(prints_names)))
+    owner = inside.join(counts, "k").select(F.col("k").alias("ok"), F.col("node").alias("v"), F.col("root").alias("vroot"), (F.col("root") != F.col("main")).alias("vodd"), F.col("size").alias("vsize"), *(F.col(n).alias(f"v{i}") for i, n in enumerate(names)))
+    asker = asking.join(counts, "k").select("k", F.col("node").alias("u"), "root", (F.col("root") != F.col("main")).alias("odd"), F.col("size").alias("usize"), *(F.col(n).alias(f"u{i}") for i, n in enumerate(names)))
     asker = ws.save(asker, "asking")
     # Rows of the bucket's main component don't meet each other.
-    meets = (F.col("k") == F.col("ok")) & (F.col("root") != F.col("vroot")) & (_apart("u", "v", words) <= far)
+    meets = (F.col("k") == F.col("ok")) & (F.col("root") != F.col("vroot")) & close
     rest = asker.where("odd").join(owner, meets).select("u", "v").unionAll(asker.where("not odd").join(owner.where("vodd"), meets).select("u", "v"))
     rest = ws.save(rest.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "rest")
     more = _similar(rest, rows, ws, key, text, width, similarity)

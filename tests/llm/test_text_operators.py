@@ -111,6 +111,26 @@ def test_near_copies_equal_all_pairs(spark, small):
     assert kept == sorted(set(roots(ids, links).values()))
 
 
+def tails(common: int, left: int, right: int, pairs: int = 60) -> list[tuple[int, str]]:
+    """Pairs of texts whose sets of five-word shingles share ``common`` members and have so many of their own."""
+    out = []
+    for n in range(pairs):
+        words = lambda tag, k: [f"{tag}{n}x{common}x{left}x{right}x{i}" for i in range(k)]
+        out += [(2 * n, " ".join(words("w", common + 4) + words("l", left))), (2 * n + 1, " ".join(words("w", common + 4) + words("r", right)))]
+    return out
+
+
+# Similarities of 0.8 and just above, from 4 shingles to 1,000.
+@pytest.mark.parametrize("common, left, right", [(4, 0, 1), (5, 0, 1), (8, 1, 1), (12, 1, 2), (16, 2, 2), (64, 8, 8), (240, 30, 30), (800, 100, 100)])
+def test_no_pair_is_lost_at_the_limit(spark, common, left, right):
+    docs = spark.createDataFrame(tails(common, left, right), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == list(range(0, 120, 2))
+
+
+def test_pairs_below_the_limit_stay(spark):
+    assert simhash.keep_one(spark.createDataFrame(tails(7, 1, 1) + [(1000 + i, t) for i, t in tails(3, 0, 1)], "doc_id long, text string")).count() == 240
+
+
 def test_keep_one_odd_cases(spark):
     kept = simhash.keep_one(odd(spark))
     assert kept.columns == odd(spark).columns
