@@ -461,34 +461,30 @@ def directory_truth(spark, sf_dir):
 # Model ----------------------------------------------------------------------------------------
 
 
-def small_settings() -> Settings:
-    """Production limits with as many trees as a query can wait for."""
-    return Settings(training=Training(trees=5, depth=4))
-
-
 @query("er_training_pairs")
 def training_pairs(spark, sf_dir):
     from . import train
 
     sources, pairs = fixtures.corrupted_directory(spark, sf_dir)
     targets = index.records(index.union_sources({n: sources[n] for n in (2, 3)}))
-    return train.training_pairs(train.queries_of(sources[1]), targets, pairs, small_settings()).select("s1", "rid", "label", *features.NAMES)
+    return train.training_pairs(train.queries_of(sources[1]), targets, pairs, Settings()).select("s1", "rid", "label", *features.NAMES)
 
 
 def _predict(strategy: str):
     def run(spark, sf_dir):
         from . import predict, train
 
-        settings = small_settings()
+        settings = Settings()
         sources, pairs = fixtures.corrupted_directory(spark, sf_dir)
         targets = index.records(index.union_sources({n: sources[n] for n in (2, 3)}))
         asked = train.queries_of(sources[1])
-        learned = train.training_pairs(asked, targets, pairs, settings).persist()
-        model = train.fit_trees(learned, settings.training, settings.training.trees)
-        calibrator = train.fit_calibrator(train.raw_scores(model, learned))
+        learned = selection.group_split(train.training_pairs(asked, targets, pairs, settings), settings.training).persist()
+        stopped, calibrator, held, threshold = train.fit(learned, settings.training)
+        held.unpersist()
+        model = train.fit_trees(learned, settings.training, train.tree_count(stopped))
         found = predict.score_pairs(predict.candidates(asked, targets, index.postings(targets), settings, strategy), model, calibrator)
         learned.unpersist()
-        matched, listed = predict.output_lists(asked, predict.decide(found, settings.decision.threshold, settings))
+        matched, listed = predict.output_lists(asked, predict.decide(found, threshold, settings))
         return matched.join(listed, "s1")
 
     return run
