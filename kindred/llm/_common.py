@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +85,12 @@ def utf8(column: Column | str) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("binary")
 
 
+def id_lists(raw: list[bytes]) -> pa.ListArray:
+    """array<int> of token ids that are packed as little-endian 32-bit integers."""
+    ends = np.cumsum([0, *(len(x) // 4 for x in raw)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+
+
 def keyed(docs: DataFrame, ws: Workspace, doc_id: str = "doc_id", text: str = "text", key: str = "__k_row") -> DataFrame:
     """The documents with a unique long key in the order of doc_id.
 

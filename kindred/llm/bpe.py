@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import map_arrow
+from ._common import id_lists, map_arrow
 from .packing import SPACE
 
 CACHE = 300_000
@@ -213,24 +213,30 @@ def decode_ids(model: WordBpe, ids: list[int]) -> str:
     return " ".join([model.names[i] for i in ids])
 
 
-def encoded(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, ids (array<int>), decoded text, and the digests of both.
+def tokenized(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: doc_id, n_tokens, ids (array<int>), decoded text, and the digests of both.
 
     Null and empty texts have no ids and an empty decoded text. Rows don't meet, so repeated
     ids are no matter; texts are whole at any length.
     """
     kind = dict(docs.dtypes)[doc_id]
+    names = ["doc_id", "n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256"]
 
     def of(batch: pa.RecordBatch):
         model = word_bpe(tokenizer)
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            n, raw, shown = [], [], []
+            raw, shown = [], []
             for parts in model.encode(part.column(1).to_pylist()):
-                ids = b"".join([p[0] for p in parts])
-                n.append(len(ids) // 4)
-                raw.append(hashlib.sha256(ids).hexdigest())
-                shown.append(hashlib.sha256(" ".join([p[1] for p in parts if p[0]]).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(raw, pa.string()), pa.array(shown, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                raw.append(b"".join([p[0] for p in parts]))
+                shown.append(" ".join([p[1] for p in parts if p[0]]))
+            digests = [pa.array([hashlib.sha256(x).hexdigest() for x in xs], pa.string()) for xs in (raw, [x.encode() for x in shown])]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in raw], pa.int64()), id_lists(raw), pa.array(shown, pa.string()), *digests], names=names)
+
+    schema = f"doc_id {kind}, n_tokens long, ids array<int>, decoded string, ids_sha256 string, decoded_sha256 string"
+    return map_arrow(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), of, schema)
 
-    return map_arrow(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), of, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+def encoded(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: doc_id, n_tokens, and the digests of what ``tokenized`` gives."""
+    return tokenized(docs, tokenizer, doc_id, text).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -19,13 +19,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import id_lists
+
 #: White_Space of Unicode, as the pre-tokenizer's \s has it.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
 #: Beyond these characters the two libraries' Unicode tables could differ.
 RARE = re.compile("[^\0-ɏ‐-‧]")
 CACHE = 150_000
 END_ID = 1
-SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
 
 
 class ByteTokenizer:
@@ -184,7 +186,7 @@ class Packer:
 
 
 def pack(docs: DataFrame, tokenizer: str, ranks: str, doc_id: str = "doc_id", text: str = "text", size: int = 2048) -> DataFrame:
-    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (array<int>).
 
     Every document is its ids and then END_ID, so a null or empty text is one token.
     sequence_id is unique over all partitions (the partition's number and a count); a
@@ -193,7 +195,7 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str, doc_id: str = "doc_id", te
     """
     kind = dict(docs.dtypes)[doc_id]
     end = np.array([END_ID], "<u4").tobytes()
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
     id_type = pa.int64() if kind == "bigint" else None
 
     def run(batches):
@@ -202,9 +204,10 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str, doc_id: str = "doc_id", te
         rows: list[tuple] = []
 
         def flush():
-            columns = list(zip(*((d, s, len(i) // 4, zlib.crc32(i), t, q, o) for d, s, i, t, q, o in rows)))
+            for at in range(0, len(rows), 2048):
+                columns = list(zip(*((d, s, len(i) // 4, zlib.crc32(i), t, q, o, i) for d, s, i, t, q, o in rows[at : at + 2048])))
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:-1]), id_lists(columns[-1])], names=names)
             rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:])], names=names)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -212,9 +215,8 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str, doc_id: str = "doc_id", te
                 for doc, ids in zip(part.column(0).to_pylist(), coder.encode(part.column(1).to_pylist())):
                     rows.extend(packer.put(doc, ids + end))
                 if len(rows) >= 2048:
-                    yield flush()
+                    yield from flush()
         rows.extend(packer.close())
-        if rows:
-            yield flush()
+        yield from flush()
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(run, f"doc_id {kind}, {SCHEMA}")

@@ -116,6 +116,15 @@ def test_bpe_rows(spark, small):
     assert bpe.encoded(rows.limit(0), WORD).count() == 0
 
 
+def test_tokenized_keeps_ids_and_text(spark, small):
+    docs = documents(spark, small).select("doc_id", "text").unionAll(spark.createDataFrame([(None, None), (-1, "")], "doc_id long, text string"))
+    library = Tokenizer.from_file(WORD)
+    want = {r.doc_id: library.encode(r.text or "", add_special_tokens=False).ids for r in docs.collect()}
+    got = bpe.tokenized(docs, WORD).collect()
+    assert {r.doc_id: r.ids for r in got} == want
+    assert all(r.decoded == library.decode(r.ids, skip_special_tokens=False) for r in got)
+
+
 # Embeddings
 
 

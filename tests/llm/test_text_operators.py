@@ -202,6 +202,18 @@ def test_byte_tokens_equal_the_library(spark, small):
             assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text[:60])
 
 
+def test_pieces_hold_the_ids(spark, small):
+    docs = documents(spark, small).select("doc_id", "text")
+    library = Tokenizer.from_file(BYTE[0])
+    got = defaultdict(dict)
+    for r in packing.pack(docs, *BYTE).collect():
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+        got[r.doc_id][r.start] = r.ids
+    for doc in docs.collect():
+        ids = [i for _, part in sorted(got[doc.doc_id].items()) for i in part]
+        assert ids == [*library.encode(doc.text or "", add_special_tokens=False).ids, packing.END_ID]
+
+
 def test_packing_keeps_every_token_once(spark, small):
     docs = documents(spark, small).select("doc_id", "text").unionAll(odd(spark).where("doc_id is not null").dropDuplicates(["doc_id"]).select(F.col("doc_id") + 10_000, "text"))
     rows = packing.pack(docs, *BYTE).collect()
