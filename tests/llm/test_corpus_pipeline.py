@@ -1,8 +1,10 @@
 """The pipeline's stages, each held against what its operator gives on its own input."""
 
 import importlib
+from collections import Counter
 
 import corpus_pipeline as P
+from pyspark.sql import functions as F
 
 from kindred.llm import simhash
 
@@ -37,3 +39,15 @@ def test_run_gives_the_last_stage(spark, small):
     out = P.run(spark, small)
     assert out.count() > 0 and out.agg({"length": "max"}).first()[0] <= 2048
     assert importlib.import_module("__spark_entry__").queries()["pipeline"]
+
+
+def test_line_dedup_rows_equal_a_plain_recomputation(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" common foot \n"), "text")).otherwise(F.col("text")))
+    rows = docs.collect()
+    pages, holders = Counter(r.source for r in rows), Counter()
+    for r in rows:
+        holders.update((r.source, line) for line in {x.strip(" ") for x in (r.text or "").split("\n")} if line and r.text is not None)
+    bad = {(s, line) for (s, line), n in holders.items() if n >= 3 and n > 0.05 * pages[s]}
+    want = {r.doc_id: r.text and "\n".join(x for x in r.text.split("\n") if (r.source, x.strip(" ")) not in bad) for r in rows}
+    got = {r.doc_id: r.text for r in P.drop_boilerplate(spark, docs, small).collect()}
+    assert got == want and got != {r.doc_id: r.text for r in rows}
