@@ -133,6 +133,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 #: Longs of a parity bitmap: bit i says whether an odd number of a set's hashes end in i. Two sets
 #: differ in at least as many members as their bitmaps do in bits.
 PARITY = 32
+#: A shingle in so many different texts of a batch of 512 is a common one; so many common ones are kept.
+OFTEN, COMMON = 4, 100_000
 
 
 def shingle_hashes(raw: bytes, width: int) -> np.ndarray:
@@ -154,11 +156,11 @@ def at_least(share: float, n: int) -> int:
     return math.ceil(share * n - 1e-9)
 
 
-def signature(raw: bytes, width: int, similarity: float) -> tuple[bytes, int, bytes, np.ndarray, int]:
+def signature(raw: bytes, width: int, similarity: float, common: np.ndarray) -> tuple[bytes, int, bytes, np.ndarray, int]:
     """Of a text's set of shingles: digest, size, parity bitmap, the keys that it probes, how many of them it owns.
 
-    Sets in the order of their hashes that share ``o`` members share one among the first
-    ``size - o + 1`` of each. A set of n shares at least ``similarity * n`` with a similar one,
+    Sets in one order that share ``o`` members share one among the first ``size - o + 1`` of
+    each. The order is that of the hashes, those in ``common`` (sorted) behind all others. A set of n shares at least ``similarity * n`` with a similar one,
     and ``2 * similarity / (1 + similarity) * n`` with one that isn't smaller. So of two
     similar sets the larger one probes a key that the smaller one owns.
     """
@@ -168,7 +170,29 @@ def signature(raw: bytes, width: int, similarity: float) -> tuple[bytes, int, by
     parity = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
     probed = n and n - at_least(similarity, n) + 1
     owned = n and n - at_least(2 * similarity / (1 + similarity), n) + 1
-    return xxhash.xxh3_128_digest(found.tobytes()), n, parity, found[:probed].view(np.int64), owned
+    digest = xxhash.xxh3_128_digest(found.tobytes())
+    if len(common):
+        last = common[np.minimum(np.searchsorted(common, found), len(common) - 1)] == found
+        found = np.concatenate([found[~last], found[last]])
+    return digest, n, parity, found[:probed].view(np.int64), owned
+
+
+def common_shingles(rows: DataFrame, text: str, width: int) -> np.ndarray:
+    """Sorted hashes of the shingles that most of the texts share: at most COMMON, chosen by a count over all texts.
+
+    Counted in each batch, where fewer than OFTEN different texts with a shingle don't count. Which
+    ones are found is a matter of speed only: no pair is lost whatever the order of the keys.
+    """
+
+    def often(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                sets = [np.unique(shingle_hashes(raw, width)) for raw in set(batch.column(0).slice(at, 512).to_pylist())]
+                found, counts = np.unique(np.concatenate(sets), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found[counts >= OFTEN].view(np.int64)), pa.array(counts[counts >= OFTEN])], names=["k", "n"])
+
+    counted = rows.select(utf8(text).alias("raw")).mapInArrow(often, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    return np.sort(counted.orderBy(F.desc("n"), "k").limit(COMMON).select("k").toArrow().column("k").to_numpy().view(np.uint64))
 
 
 def _may_be_similar(n: str, m: str, differ: Column, similarity: float) -> Column:
@@ -185,19 +209,9 @@ def _apart(left: str, right: str, words: int) -> Column:
     return out
 
 
-def near_copies(rows: DataFrame, ws: Workspace, key: str, text: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id, root): every row that has a near copy, with the smallest row key among its linked ones; roots excepted.
-
-    Near copies are texts whose sets of ``width``-word shingles have a Jaccard similarity of
-    ``similarity`` or more; candidates share a shingle of their prefixes (``signature``), which all
-    such pairs do, and every link is verified on the shingles. Texts of equal sets are one node. A
-    bucket's members are first compared with its most central member only (the one that shares most
-    keys with others), those that own the bucket's key before those that probe it.
-    Members that this joins into one component need no further comparison; the rest of a bucket
-    is compared with all its members. So a bucket of very many near copies costs about as many
-    rows as members, and no link that joins two components is left out. Null and empty texts are
-    one group each: equal texts are copies.
-    """
+def prints_of(rows: DataFrame, key: str, text: str, width: int, similarity: float) -> DataFrame:
+    """(id, d0, d1, size, f0 ..., probes, owned) of every row: the ``signature`` in columns."""
+    sent = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, text, width))
     names = [f"f{w}" for w in range(PARITY)]
 
     def hashed(batches):
@@ -208,7 +222,7 @@ def near_copies(rows: DataFrame, ws: Workspace, key: str, text: str = "text", wi
                 out = []
                 for raw in part.column(1).to_pylist():
                     if raw not in seen:
-                        seen[raw] = signature(raw, width, similarity)
+                        seen[raw] = signature(raw, width, similarity, sent.value)
                     out.append(seen[raw])
                 digests = np.frombuffer(b"".join(x[0] for x in out), np.int64).reshape(len(out), 2)
                 parity = np.frombuffer(b"".join(x[2] for x in out), np.int64).reshape(len(out), PARITY)
@@ -218,65 +232,92 @@ def near_copies(rows: DataFrame, ws: Workspace, key: str, text: str = "text", wi
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(np.ascontiguousarray(c)) for c in columns), probes, owned], names=["id", "d0", "d1", "size", *names, "probes", "owned"])
 
     source = rows.select(F.col(key).alias("id"), utf8(text).alias("raw"))
-    prints = ws.save(source.mapInArrow(hashed, f"id long, d0 long, d1 long, size long, {', '.join(f'{n} long' for n in names)}, probes array<long>, owned int"), "prints")
-    same = prints.groupBy("d0", "d1").agg(F.min("id").alias("node"))
-    members = ws.save(prints.select("id", "d0", "d1", "size", *names).join(same, ["d0", "d1"]).select("id", "node", "size", *names), "members")
-    prints_of = members.where("id = node").select("node", "size", *names)
-    nodes = prints.join(prints_of.select("node"), F.col("id") == F.col("node"), "left_semi")
-    # The bitmap folded to 64 bits goes with every row, so that most chance meetings of short texts end in the join.
-    taste = F.expr(" ^ ".join(names)).alias("s")
-    owners = nodes.select(F.col("id").alias("node"), "size", taste, F.explode(F.expr("slice(probes, 1, owned)")).alias("k"))
-    sizes = owners.groupBy("k").agg(F.count("*").alias("n"))
-    crowded = ws.save(sizes.where("n > 1"), "crowded")
-    central = owners.join(crowded, "k").groupBy("node").agg(F.sum("n").alias("weight")).withColumnRenamed("node", "cn")
-    weighed = owners.join(central, F.col("node") == F.col("cn"), "left").select("k", "node", "size", "s", F.coalesce("weight", F.lit(0)).alias("weight"))
-    reps = weighed.groupBy("k").agg(F.max(F.struct("weight", -F.col("node"), F.col("node").alias("rep"), F.col("size").alias("rsize"), F.col("s").alias("rs"))).alias("best")).select("k", "best.rep", "best.rsize", "best.rs")
-    alike = _may_be_similar("size", "rsize", F.bit_count(F.col("s").bitwiseXOR(F.col("rs"))), similarity)
+    return source.mapInArrow(hashed, f"id long, d0 long, d1 long, size long, {', '.join(f'{n} long' for n in names)}, probes array<long>, owned int")
+
+
+def meetings(nodes: DataFrame, ws: Workspace) -> DataFrame:
+    """(k, node, own): who probes or owns the keys at which two or more nodes meet, an owner among them.
+
+    Keys with the same nodes and owners are one: near copies share whole runs of keys.
+    """
+    rows = nodes.select(F.col("id").alias("node"), "owned", F.posexplode("probes").alias("at", "k")).select("k", "node", (F.col("at") < F.col("owned")).alias("own"))
+    shared = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("own").alias("own")).where("n > 1 and own").select("k")
+    found = ws.save(rows.join(shared, "k"), "meetings")
+    mark = lambda n: F.bit_xor(F.xxhash64("node", "own", F.lit(n)))
+    who = found.groupBy("k").agg(F.count("*").alias("n"), mark(1).alias("a"), mark(2).alias("b"))
+    once = who.groupBy("n", "a", "b").agg(F.min("k").alias("k")).select("k")
+    out = ws.save(found.join(once, "k", "left_semi"), "meetings-once")
+    ws.drop(found)
+    return out
+
+
+def near_copies(rows: DataFrame, ws: Workspace, key: str, text: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, root): every row that has a near copy, with the smallest row key among its linked ones; roots excepted.
+
+    Near copies are texts whose sets of ``width``-word shingles have a Jaccard similarity of
+    ``similarity`` or more; candidates share a shingle of their prefixes (``signature``), which all
+    such pairs do, and every link is verified on the shingles. Texts of equal sets are one node. A
+    bucket's members are first compared with its most central owner only (the one whose keys most
+    others have), so a bucket of very many near copies costs about as many rows as members. What is
+    left are buckets of several components: the members of the component that most belong to
+    need no comparison with each other, any other member is compared with that whole component
+    once, whatever the number of buckets in which they meet, and with the bucket's other members.
+    No link that joins two components is left out. Null and empty texts are one group: equal
+    texts are copies.
+    """
+    names = [f"f{w}" for w in range(PARITY)]
+    prints = ws.save(prints_of(rows, key, text, width, similarity), "prints")
+    members = ws.save(prints.select("id", "d0", "d1").join(prints.groupBy("d0", "d1").agg(F.min("id").alias("node")), ["d0", "d1"]).select("id", "node"), "members")
+    nodes = prints.join(members.where("id <> node"), "id", "left_anti")
+    found = meetings(nodes, ws)
+    # Who meets no one needs no more columns. The bitmap folded to 64 bits goes with every meeting.
+    info = ws.save(nodes.join(found.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("node"), "size", *names), "info")
+    ws.drop(prints)
+    meet = ws.save(found.join(info.select("node", "size", F.expr(" ^ ".join(names)).alias("s")), "node"), "meet")
+    ws.drop(found)
+    side = lambda x, df=info: df.select(F.col("node").alias(x), F.col("size").alias(f"{x}size"), *(F.col(n).alias(f"{x}{i}") for i, n in enumerate(names)))
+    alike = _may_be_similar("size", "vsize", F.bit_count(F.col("s").bitwiseXOR(F.col("vs"))), similarity)
     close = _may_be_similar("usize", "vsize", _apart("u", "v", PARITY), similarity)
-    side = lambda x: prints_of.select(F.col("node").alias(x), F.col("size").alias(f"{x}size"), *(F.col(n).alias(f"{x}{i}") for i, n in enumerate(names)))
+    pair = (F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
     def linked(met: DataFrame) -> DataFrame:
-        """The links among the pairs (node, rep)."""
-        pairs = ws.save(met.select(F.greatest("node", "rep").alias("u"), F.least("node", "rep").alias("v")).distinct(), "met")
-        near = pairs.join(side("u"), "u").join(side("v"), "v").where(close).select("u", "v")
-        found = _similar(near, rows, ws, key, text, width, similarity)
+        """The links among the pairs (node, v)."""
+        pairs = ws.save(met.select(F.col("node").alias("u"), "v").select(*pair).distinct(), "met")
+        out = _similar(pairs.join(side("u"), "u").join(side("v"), "v").where(close).select("u", "v"), rows, ws, key, text, width, similarity)
         ws.drop(pairs)
-        return found
-
-    # First the owners of a bucket, then, of those that probe it, the ones that this hasn't joined to its centre.
-    reps = ws.save(reps, "reps")
-    own = owners.join(reps.withColumnRenamed("k", "rk"), (F.col("k") == F.col("rk")) & (F.col("node") != F.col("rep")) & alike)
-    first = linked(own)
-    roots = ws.save(components(first, ws), "first-roots").withColumnRenamed("node", "rn")
-    of_rep = roots.select(F.col("rn").alias("rep_"), F.col("root").alias("reproot_"))
-    reps_rooted = reps.join(of_rep, F.col("rep") == F.col("rep_"), "left").select(F.col("k").alias("rk"), "rep", "rsize", "rs", F.coalesce("reproot_", "rep").alias("reproot"))
-    asked = nodes.join(roots, F.col("id") == F.col("rn"), "left").select(F.col("id").alias("node"), F.coalesce("root", "id").alias("root"), "size", taste, "probes")
-    probing = asked.select("node", "root", "size", "s", F.explode("probes").alias("k"))
-    second = linked(probing.join(reps_rooted, (F.col("k") == F.col("rk")) & (F.col("root") != F.col("reproot")) & alike))
-    links = first.unionAll(second)
-    roots = ws.save(components(links, ws), "roots").withColumnRenamed("node", "rn")
-    probes = nodes.select(F.col("id").alias("node"), F.explode("probes").alias("k"))
-
-    # What else meets in buckets of two or more owners, unless one component holds it already.
-    known = prints_of.join(roots, F.col("node") == F.col("rn"), "left").select("node", F.coalesce("root", "node").alias("root"), "size", *names)
-    known = ws.save(known, "known")
-    rooted = probes.join(crowded.select("k"), "k", "left_semi").join(known.select("node", "root"), "node")
-    mixed = ws.save(rooted.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("k"), "mixed")
-    full = lambda df: df.select("k", "node").join(mixed, "k", "left_semi").join(known, "node")
-    inside = ws.save(full(owners), "inside")
-    counts = inside.groupBy("k", "root").agg(F.count("*").alias("c")).groupBy("k").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
-    asking = full(probes)
-    owner = inside.join(counts, "k").select(F.col("k").alias("ok"), F.col("node").alias("v"), F.col("root").alias("vroot"), (F.col("root") != F.col("main")).alias("vodd"), F.col("size").alias("vsize"), *(F.col(n).alias(f"v{i}") for i, n in enumerate(names)))
-    asker = asking.join(counts, "k").select("k", F.col("node").alias("u"), "root", (F.col("root") != F.col("main")).alias("odd"), F.col("size").alias("usize"), *(F.col(n).alias(f"u{i}") for i, n in enumerate(names)))
-    asker = ws.save(asker, "asking")
-    # Rows of the bucket's main component don't meet each other.
-    meets = (F.col("k") == F.col("ok")) & (F.col("root") != F.col("vroot")) & close
-    rest = asker.where("odd").join(owner, meets).select("u", "v").unionAll(asker.where("not odd").join(owner.where("vodd"), meets).select("u", "v"))
-    rest = ws.save(rest.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "rest")
-    more = _similar(rest, rows, ws, key, text, width, similarity)
-    joined = components(links.unionAll(more), ws)
-    ws.drop(inside, asker, prints, rest, known)
-    return members.join(joined.withColumnRenamed("node", "jn"), F.col("node") == F.col("jn"), "left").select("id", F.coalesce("root", "node").alias("root")).where("id <> root")
+        return out
+
+    def joined(links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(node, root), the meetings with their roots, and (k, main): the root that most have, of buckets of several."""
+        roots = ws.save(info.select("node").join(components(links, ws), "node", "left").withColumn("root", F.coalesce("root", "node")), "roots")
+        rooted = meet.join(roots, "node")
+        parts = rooted.groupBy("k", "root").agg(F.count("*").alias("c")).groupBy("k").agg(F.count("*").alias("m"), F.max_by("root", F.struct("c", "root")).alias("main"))
+        return roots, rooted, parts.where("m > 1").select("k", "main")
+
+    # First each bucket's most central owner with all that meet there.
+    sizes = meet.where("own").groupBy("k").agg(F.count("*").alias("n"))
+    weights = meet.where("own").join(sizes, "k").groupBy("node").agg(F.sum("n").alias("weight"))
+    best = meet.where("own").join(weights, "node").groupBy("k").agg(F.max(F.struct("weight", -F.col("node"), F.col("node").alias("v"), F.col("size").alias("vsize"), F.col("s").alias("vs"))).alias("best"))
+    links = linked(meet.join(best.select("k", "best.v", "best.vsize", "best.vs"), "k").where((F.col("node") != F.col("v")) & alike))
+
+    # Then, for those that this hasn't joined to a bucket's main component, any one of that component.
+    roots, rooted, parts = joined(links)
+    some = rooted.join(parts, "k").where("root = main").groupBy("k").agg(F.min_by(F.struct(F.col("node").alias("v"), F.col("size").alias("vsize"), F.col("s").alias("vs")), F.xxhash64("k", "node")).alias("one"))
+    links = links.unionAll(linked(rooted.join(parts, "k").where("root <> main").join(some.select("k", "one.v", "one.vsize", "one.vs"), "k").where(alike)))
+    ws.drop(roots)
+
+    # Last, all that is still apart.
+    roots, rooted, parts = joined(links)
+    odd = ws.save(rooted.join(parts, "k").where("root <> main").select("k", "node", "own", "root", "main"), "odd")
+    asked = odd.select(F.col("node").alias("u"), "main").distinct().join(side("u"), "u")
+    of_main = side("v").join(roots.select(F.col("node").alias("v"), F.col("root").alias("main")), "v")
+    with_main = asked.join(of_main, "main").where(close).select("u", "v")
+    full = lambda x, df: df.select(F.col("k").alias(f"{x}k"), F.col("node").alias(x), F.col("root").alias(f"{x}root")).join(side(x), x)
+    others = full("u", odd).join(full("v", odd.where("own")), (F.col("uk") == F.col("vk")) & (F.col("uroot") != F.col("vroot")) & close).select("u", "v")
+    more = _similar(with_main.unionAll(others).select(*pair).distinct(), rows, ws, key, text, width, similarity)
+    joint = components(links.unionAll(more), ws)
+    ws.drop(meet, info, odd, roots)
+    return members.join(joint.withColumnRenamed("node", "jn"), F.col("node") == F.col("jn"), "left").select("id", F.coalesce("root", "node").alias("root")).where("id <> root")
 
 
 def _similar(near: DataFrame, rows: DataFrame, ws: Workspace, key: str, text: str, width: int, similarity: float) -> DataFrame:
