@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 
 #: In force while a table is written: it replaces the step's shuffle files, and Python gets whole
 #: texts in batches that a worker can hold several times over.
-WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", ROWS: "2000"}
+LIBC = ctypes.CDLL(None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -69,15 +72,39 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow for a function of one batch that yields batches or dicts of columns."""
+def _trim() -> None:
+    """Give back what a task's batches took: a worker process outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(LIBC, "malloc_trim"):
+        LIBC.malloc_trim(0)
+
+
+def in_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow for texts of any length.
+
+    Where the session has Spark's own number of rows a batch, it is set to one whose texts a
+    worker can hold several times over.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(ROWS) == "10000":
+        conf.set(ROWS, WRITING[ROWS])
+
+    def run(batches):
+        yield from fn(batches)
+        _trim()
+
+    return df.mapInArrow(run, schema)
+
+
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``in_arrow`` for a function of one batch that yields batches."""
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 yield from fn(batch)
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def utf8(column: Column | str) -> Column:
@@ -85,10 +112,9 @@ def utf8(column: Column | str) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("binary")
 
 
-def id_lists(raw: list[bytes]) -> pa.ListArray:
-    """array<int> of token ids that are packed as little-endian 32-bit integers."""
-    ends = np.cumsum([0, *(len(x) // 4 for x in raw)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+def id_lists(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    """array<int> of token ids, list i being those from ends[i] to ends[i + 1]."""
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.view(np.int32)))
 
 
 def keyed(docs: DataFrame, ws: Workspace, doc_id: str = "doc_id", text: str = "text", key: str = "__k_row") -> DataFrame:
