@@ -33,7 +33,9 @@ def clean_ascii(text: Column) -> Column:
 
 
 def normalize_text(text: Column | str) -> Column:
-    return clean_ascii(fold_ascii(F.coalesce(_column(text).cast("string"), F.lit(""))))
+    """Python sees only the texts that aren't ASCII."""
+    text = F.coalesce(_column(text).cast("string"), F.lit(""))
+    return clean_ascii(F.coalesce(fold_ascii(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text))
 
 
 def words(text: Column | str) -> Column:

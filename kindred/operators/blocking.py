@@ -9,7 +9,9 @@ cut after it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -22,81 +24,95 @@ KEYS = {EXACT_NAME: "name", EXACT_ADDRESS: "address", NAME_PREFIX: "name_prefix"
 CANDIDATE = ["s1", "rid", "pass", "rank"]
 
 
+def key_passes(queries: DataFrame, targets: DataFrame, limits: dict[int, int]) -> DataFrame:
+    """(s1, rid, pass, rank) of several keyed passes, by one join on (country, pass, key).
+
+    Each pass gives a query the first ``limits[pass]`` targets with its country and key; an empty key finds nothing.
+    """
+    used = {n: most for n, most in limits.items() if most > 0}
+    if not used:
+        return queries.select("s1", F.lit(None).cast("long").alias("rid"), F.lit(0).alias("pass"), F.lit(0).alias("rank")).limit(0)
+    keys = F.inline(F.array(*(F.struct(F.lit(n).alias("pass"), F.col(KEYS[n]).alias("key")) for n in used)))
+    listed = targets.select("country", "rid", keys).where("key <> ''")
+    block = W.partitionBy("country", "pass", "key").orderBy("rid")
+    # The largest limit cuts before the shuffle, each pass's own after it.
+    own = F.element_at(F.create_map(*(F.lit(x) for n in used for x in (n, used[n]))), F.col("pass"))
+    cut = listed.withColumn("rank", F.row_number().over(block)).where((F.col("rank") <= max(used.values())) & (F.col("rank") <= own))
+    asked = queries.select("s1", "country", keys).where("key <> ''")
+    return asked.join(cut, ["country", "pass", "key"]).select("s1", "rid", "pass", "rank")
+
+
 def key_pass(queries: DataFrame, targets: DataFrame, number: int, limit: int) -> DataFrame:
-    """(s1, rid, pass, rank) of the first ``limit`` targets with the query's country and key; an empty key finds nothing."""
-    if limit <= 0:
-        return queries.select("s1", F.lit(None).cast("long").alias("rid"), F.lit(number).alias("pass"), F.lit(0).alias("rank")).limit(0)
-    key = KEYS[number]
-    block = W.partitionBy("country", key).orderBy("rid")
-    cut = targets.where(F.col(key) != "").select("country", key, "rid").withColumn("rank", F.row_number().over(block)).where(F.col("rank") <= limit)
-    asked = queries.where(F.col(key) != "").select("s1", "country", key)
-    return asked.join(cut, ["country", key]).select("s1", "rid", F.lit(number).alias("pass"), "rank")
+    """``key_passes`` for one pass."""
+    return key_passes(queries, targets, {number: limit})
 
 
-def token_pass(queries: DataFrame, posted: DataFrame, number: int, limit: int, first: int | None = None, max_df: int | None = None) -> DataFrame:
-    """The targets of the query's country that share most tokens with it; ties by rid.
+def token_passes(queries: DataFrame, posted: DataFrame, limits: dict[int, int], first: int | None = None, max_df: int | None = None) -> DataFrame:
+    """(s1, rid, pass, rank): the targets of the query's country that share most tokens with it; ties by rid.
 
-    ``first`` looks up only the leading tokens; ``max_df`` skips tokens with more records.
+    ``first`` looks up only the leading tokens of a name; ``max_df`` skips tokens with more
+    records. All passes are one join on (kind, country, tok), which Spark can split where a
+    token is frequent, and counts are combined before they are shuffled.
     """
-    kind, column = ("name", "name") if number == NAME_TOKENS else ("addr", "address")
-    wanted = T.tokens(column)
-    wanted = wanted if first is None else F.slice(wanted, 1, first)
-    asked = queries.select("s1", "country", F.explode(wanted).alias("tok"))
-    listed = posted.where(F.col("kind") == kind).select("country", "tok", "rid")
+
+    def wanted(number: int) -> Column:
+        toks = T.tokens("name" if number == NAME_TOKENS else "address")
+        toks = F.slice(toks, 1, first) if first is not None and number == NAME_TOKENS else toks
+        kind = F.lit("name" if number == NAME_TOKENS else "addr")
+        return F.transform(toks, lambda t: F.struct(F.lit(number).alias("pass"), kind.alias("kind"), t.alias("tok")))
+
+    asked = queries.select("s1", "country", F.inline(F.concat(*map(wanted, limits))))
+    listed = posted.select("kind", "country", "tok", "rid")
     if max_df is not None:
-        common = listed.groupBy("tok").agg(F.count("*").alias("df")).where(F.col("df") > max_df)
-        listed = listed.join(common, "tok", "left_anti")
-    shared = asked.join(listed, ["country", "tok"]).groupBy("s1", "rid").agg(F.count("*").alias("shared"))
-    order = W.partitionBy("s1").orderBy(F.desc("shared"), "rid")
-    return shared.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit).select("s1", "rid", F.lit(number).alias("pass"), "rank")
+        common = listed.groupBy("kind", "tok").agg(F.count("*").alias("df")).where(F.col("df") > max_df)
+        listed = listed.join(common, ["kind", "tok"], "left_anti")
+    shared = asked.join(listed, ["kind", "country", "tok"]).groupBy("s1", "pass", "rid").agg(F.count("*").alias("shared"))
+    order = W.partitionBy("s1", "pass").orderBy(F.desc("shared"), "rid")
+    own = F.element_at(F.create_map(*(F.lit(x) for n in limits for x in (n, limits[n]))), F.col("pass"))
+    ranked = shared.withColumn("rank", F.row_number().over(order))
+    return ranked.where((F.col("rank") <= max(limits.values())) & (F.col("rank") <= own)).select("s1", "rid", "pass", "rank")
+
+
+def token_pass(queries: DataFrame, posted: DataFrame, number: int, limit: int, first: int | None = None, max_df: int | None = None) -> DataFrame:
+    """``token_passes`` for one pass."""
+    return token_passes(queries, posted, {number: limit}, first, max_df)
 
 
 def first_seen(found: DataFrame) -> DataFrame:
-    """(s1, rid, ord): each target once, at the place of its first pass; ord counts from 1 in each query."""
-    firsts = found.groupBy("s1", "rid").agg(F.min(F.struct("pass", "rank")).alias("at"))
+    """(s1, rid, ord): each target once, at the place of its first pass; ord counts from 1 in each query.
+
+    One shuffle by s1 serves both steps; a query has no more rows than the passes' limits.
+    """
+    firsts = found.repartition("s1").groupBy("s1", "rid").agg(F.min(F.struct("pass", "rank")).alias("at"))
     return firsts.select("s1", "rid", F.row_number().over(W.partitionBy("s1").orderBy("at")).alias("ord"))
 
 
-def all_passes(queries: DataFrame, targets: DataFrame, posted: DataFrame, limits: Limits) -> DataFrame:
-    """(s1, rid, ord) by all six passes. Each pass is cut before repeats are dropped."""
-    found = training_passes_raw(queries, targets, limits)
-    for number in (NAME_TOKENS, ADDRESS_TOKENS):
-        first = limits.first_tokens if number == NAME_TOKENS else None
-        found = found.unionAll(token_pass(queries, posted, number, limits.tokens, first, limits.max_df))
-    return first_seen(found)
+def keyed_limits(limits: Limits) -> dict[int, int]:
+    return {EXACT_NAME: limits.exact_name, EXACT_ADDRESS: limits.exact_address, NAME_PREFIX: limits.name_prefix, ADDRESS_PREFIX: limits.address_prefix}
 
 
-def training_passes_raw(queries: DataFrame, targets: DataFrame, limits: Limits) -> DataFrame:
-    cuts = {EXACT_NAME: limits.exact_name, EXACT_ADDRESS: limits.exact_address, NAME_PREFIX: limits.name_prefix, ADDRESS_PREFIX: limits.address_prefix}
-    out = None
-    for number, limit in cuts.items():
-        rows = key_pass(queries, targets, number, limit)
-        out = rows if out is None else out.unionAll(rows)
-    return out
+def all_passes(queries: DataFrame, targets: DataFrame, posted: DataFrame, limits: Limits) -> DataFrame:
+    """(s1, rid, ord) by all six passes. Each pass is cut before repeats are dropped."""
+    tokens = token_passes(queries, posted, {NAME_TOKENS: limits.tokens, ADDRESS_TOKENS: limits.tokens}, limits.first_tokens, limits.max_df)
+    return first_seen(key_passes(queries, targets, keyed_limits(limits)).unionAll(tokens))
 
 
 def training_passes(queries: DataFrame, targets: DataFrame, limits: Limits) -> DataFrame:
     """(s1, rid, ord) by the four keyed passes only: the blocking that training uses."""
-    return first_seen(training_passes_raw(queries, targets, limits))
+    return first_seen(key_passes(queries, targets, keyed_limits(limits)))
 
 
 def cascade(queries: DataFrame, targets: DataFrame, posted: DataFrame, limits: Limits) -> DataFrame:
     """(s1, rid, ord): exact name, else exact address, else both prefixes, else leading name tokens; then the cap.
 
-    A later stage sees only the queries for which the earlier ones found nothing.
+    The keyed passes are one join, of which each query keeps its first stage that found
+    anything; only queries that have none look up tokens.
     """
-    stages = (
-        lambda rest: key_pass(rest, targets, EXACT_NAME, limits.exact_name),
-        lambda rest: key_pass(rest, targets, EXACT_ADDRESS, limits.exact_address),
-        lambda rest: key_pass(rest, targets, NAME_PREFIX, limits.name_prefix).unionAll(key_pass(rest, targets, ADDRESS_PREFIX, limits.address_prefix)),
-        lambda rest: token_pass(rest, posted, NAME_TOKENS, limits.tokens, limits.first_tokens, limits.max_df),
-    )
-    out, rest = None, queries
-    for stage in stages:
-        rows = stage(rest)
-        out = rows if out is None else out.unionAll(rows)
-        rest = rest.join(rows.select("s1").distinct(), "s1", "left_anti")
-    return first_seen(out).where(F.col("ord") <= limits.final)
+    keyed = key_passes(queries, targets, keyed_limits(limits)).withColumn("stage", F.least("pass", F.lit(NAME_PREFIX)))
+    rest = queries.join(keyed.select("s1").distinct(), "s1", "left_anti")
+    keyed = keyed.withColumn("first", F.min("stage").over(W.partitionBy("s1"))).where("stage = first").select(*CANDIDATE)
+    tokens = token_passes(rest, posted, {NAME_TOKENS: limits.tokens}, limits.first_tokens, limits.max_df)
+    return first_seen(keyed.unionAll(tokens)).where(F.col("ord") <= limits.final)
 
 
 def with_records(pairs: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFrame:
@@ -105,17 +121,17 @@ def with_records(pairs: DataFrame, queries: DataFrame, targets: DataFrame) -> Da
     return pairs.join(targets.select("rid", "entity_id", "source", "country", "name", "address"), "rid").join(asked, "s1")
 
 
-def lexical_cap(pairs: DataFrame, limit: int, score) -> DataFrame:
+def lexical_cap(pairs: DataFrame, limit: int, score: Column | Callable[[Column], Column]) -> DataFrame:
     """Queries with more than ``limit`` candidates keep the best by ``score``, in that order; the others keep their order.
 
-    ``score`` is a column of the pairs; only those of over-full queries are scored.
+    ``score`` is a column of the pairs, or a function that makes one for the pairs of a
+    condition: only those of over-full queries need a score.
     """
     per_query = W.partitionBy("s1")
-    counted = pairs.withColumn("__n", F.count("*").over(per_query))
-    few = counted.where(F.col("__n") <= limit).drop("__n")
-    many = counted.where(F.col("__n") > limit).withColumn("__score", score)
-    many = many.withColumn("__place", F.row_number().over(per_query.orderBy(F.desc("__score"), "ord"))).where(F.col("__place") <= limit)
-    return few.unionByName(many.withColumn("ord", F.col("__place")).drop("__n", "__score", "__place"))
+    over = F.col("__n") > limit
+    scored = pairs.withColumn("__n", F.count("*").over(per_query)).withColumn("__score", F.when(over, score(over) if callable(score) else score))
+    placed = scored.withColumn("__place", F.row_number().over(per_query.orderBy(F.desc("__score"), "ord"))).where(~over | (F.col("__place") <= limit))
+    return placed.withColumn("ord", F.when(over, F.col("__place")).otherwise(F.col("ord"))).drop("__n", "__score", "__place")
 
 
 def fetch_entities(targets: DataFrame, ids: DataFrame, column: str = "entity_id") -> DataFrame:

@@ -3,54 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import index
+from ..sources.staging import staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def documents_as_businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entity_id, business_name, business_address, country, source, ordinal: the first three words of each text, and the next six."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", T.normalize_text("text").alias("s"), (F.col("doc_id") % 3 + 1).cast("int").alias("source"))
-    words = F.split("s", " ")
-    return docs.select(
-        F.concat(F.lit("S"), F.col("source"), F.lit("-"), F.col("doc_id")).alias("entity_id"),
-        F.array_join(F.slice(words, 1, 3), " ").alias("business_name"),
-        F.array_join(F.slice(words, 4, 6), " ").alias("business_address"),
-        F.col("lang").alias("country"),
-        "source",
-        F.col("doc_id").cast("long").alias("ordinal"),
-        F.substring("s", 1, 200).alias("start"),
-    )
-
-
-def split_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(queries, targets) of the documents: normalised queries, and indexed records."""
-    rows = documents_as_businesses(spark, sf_dir)
-    queries = index.normalized(rows.where("source = 1").drop("source", "start")).withColumnRenamed("entity_id", "s1")
-    return queries, index.records(rows.where("source <> 1").drop("start"))
-
-
-def document_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(s1, entity_id): same country and the same first 200 characters."""
-    rows = documents_as_businesses(spark, sf_dir)
-    asked = rows.where("source = 1").select(F.col("entity_id").alias("s1"), "country", "start")
-    return asked.join(rows.where("source <> 1").select("entity_id", "country", "start"), ["country", "start"]).select("s1", "entity_id").distinct()
-
-
 def corrupted_directory(spark: SparkSession, sf_dir: str) -> tuple[dict[int, DataFrame], DataFrame]:
-    """Three sources of one directory with stated corruptions, and the truth (s1, entity_id, same_country)."""
-    parts = table(spark, sf_dir, "part").select("p_name", "p_brand", "p_type").distinct()
-    parts = parts.withColumn("slot", F.row_number().over(W.orderBy("p_name", "p_brand", "p_type")) - 1)
-    count = parts.count()
-    base = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    base = base.withColumn("slot", (F.col("c_custkey") % count).cast("int")).join(parts, "slot")
+    """Three sources of one directory with stated corruptions, and the truth (s1, entity_id, same_country).
+
+    A business is a customer, named by the part of the same number and its market segment.
+    """
     key = F.col("c_custkey")
+    base = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    base = base.join(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type"), key == F.col("p_partkey"))
     name = F.concat_ws(" ", "p_name", "p_brand", "c_mktsegment")
     address = F.concat_ws(" ", key.cast("string"), F.col("p_type"), F.lit("Street"), F.col("n_name"), (key + 10000).cast("string"))
     base = base.select(key.cast("long").alias("ordinal"), name.alias("name"), address.alias("address"), F.col("n_name").alias("nation"), F.col("n_nationkey"))
@@ -71,3 +41,20 @@ def corrupted_directory(spark: SparkSession, sf_dir: str) -> tuple[dict[int, Dat
     pairs = [x.select(F.concat(F.lit("S1-"), "ordinal").alias("s1"), "entity_id", F.col("country").alias("c2"), "ordinal") for x in (two, three)]
     truth = pairs[0].unionAll(pairs[1]).join(one.select("ordinal", F.col("country").alias("c1")), "ordinal")
     return {1: one, 2: two, 3: three}, truth.select("s1", "entity_id", (F.col("c1") == F.col("c2")).cast("int").alias("same_country"))
+
+
+def directory(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(queries, targets) of the directory, whole fields: normalised queries, and indexed records."""
+    sources = corrupted_directory(spark, sf_dir)[0]
+    return index.normalized(sources[1]).withColumnRenamed("entity_id", "s1"), index.records(index.union_sources({n: sources[n] for n in (2, 3)}))
+
+
+def indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``directory`` written once, as the index is, for plans that read it more than once."""
+    queries, targets = directory(spark, sf_dir)
+    return staged(queries, "queries"), staged(targets, "records")
+
+
+def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(s1, entity_id) of the directory."""
+    return corrupted_directory(spark, sf_dir)[1].select("s1", "entity_id")

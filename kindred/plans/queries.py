@@ -1,6 +1,7 @@
 """Registered queries of the entity-resolution operators, and the same results in DuckDB SQL.
 
-Documents stand in for businesses (plans.fixtures). Limits are the production ones. Scores
+A corrupted directory of customers stands in for businesses (plans.fixtures), whole fields of all
+rows. Limits are the production ones unless a name says ``tight``. Scores
 are rounded to six places on both sides.
 """
 
@@ -79,13 +80,22 @@ def sql_char_jaccard(a: str, b: str) -> str:
     return f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0 WHEN length({x}) < 3 OR length({y}) < 3 THEN {sql_ratio(x, y)} ELSE {sql_jaccard(sql_grams(a), sql_grams(b))} END"
 
 
-NORMALIZED = r"trim(regexp_replace(replace(lower(regexp_replace(strip_accents(coalesce(text, '')), '[^\x00-\x7F]', '', 'g')), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
-RECORDS = f"""
-    docs AS MATERIALIZED (SELECT doc_id, lang AS country, (doc_id % 3 + 1)::INT AS source, {NORMALIZED} AS s FROM documents),
-    rows_ AS MATERIALIZED (SELECT 'S' || source || '-' || doc_id AS entity_id, source, country, doc_id AS ordinal, left(s, 200) AS start,
-        source::BIGINT * {1 << 56} + doc_id AS rid,
-        array_to_string(list_filter(string_split(s, ' ')[1:3], lambda x: x <> '' AND x NOT IN ({_in(LEGAL_SUFFIXES)})), ' ') AS name,
-        array_to_string(string_split(s, ' ')[4:9], ' ') AS address FROM docs),
+def sql_normalized(column: str) -> str:
+    return rf"trim(regexp_replace(replace(lower(regexp_replace(strip_accents(coalesce({column}, '')), '[^\x00-\x7F]', '', 'g')), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
+
+
+DIRECTORY = """
+    base AS MATERIALIZED (SELECT c_custkey AS k, concat_ws(' ', p_name, p_brand, c_mktsegment) AS name, concat_ws(' ', c_custkey, p_type, 'Street', n_name, c_custkey + 10000) AS address, n_name AS nation, n_nationkey
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN part ON p_partkey = c_custkey),
+    cut AS (SELECT *, substr(name, 1, (k % 5 + 1)::INT) || substr(name, (k % 5 + 3)::INT) AS dropped FROM base),
+    raw_ AS MATERIALIZED (SELECT 1 AS source, k, name, address, nation AS country FROM base
+        UNION ALL SELECT 2, k, upper(name) || [' Ltd', ' Pvt. Ltd.', ' & Co'][(k % 3 + 1)::INT], replace(address, 'Street', 'St.'), nation FROM base WHERE k % 2 = 0
+        UNION ALL SELECT 3, k, CASE WHEN k % 7 = 0 THEN array_to_string(list_concat([string_split(dropped, ' ')[2], string_split(dropped, ' ')[1]], string_split(dropped, ' ')[3:]), ' ') ELSE dropped END,
+            CASE WHEN k % 4 = 0 THEN regexp_replace(address, '^[0-9]+ ', '') ELSE address END, CASE WHEN k % 25 = 0 THEN next_.n_name ELSE nation END
+            FROM cut JOIN nation next_ ON (cut.n_nationkey + 1) % 25 = next_.n_nationkey WHERE k % 3 = 0)"""
+RECORDS = f"""{DIRECTORY},
+    plain AS (SELECT 'S' || source || '-' || k AS entity_id, source, country, k AS ordinal, source::BIGINT * {1 << 56} + k AS rid, {sql_normalized('name')} AS n, {sql_normalized('address')} AS address FROM raw_),
+    rows_ AS (SELECT * EXCLUDE (n), array_to_string(list_filter(string_split(n, ' '), lambda x: x <> '' AND x NOT IN ({_in(LEGAL_SUFFIXES)})), ' ') AS name FROM plain),
     recs AS MATERIALIZED (SELECT *, left(replace(name, ' ', ''), 6) AS name_prefix, left(replace(address, ' ', ''), 6) AS addr_prefix FROM rows_),
     q AS MATERIALIZED (SELECT entity_id AS s1, * EXCLUDE (entity_id) FROM recs WHERE source = 1),
     t AS MATERIALIZED (SELECT * FROM recs WHERE source <> 1),
@@ -111,7 +121,7 @@ def sql_first_seen(found: str) -> str:
 
 KEYED = " UNION ALL ".join(sql_key_pass(n, limit) for n, limit in ((1, BASE.exact_name), (2, BASE.exact_address), (3, BASE.name_prefix), (4, BASE.address_prefix)))
 ALL_PASSES = f"{KEYED} UNION ALL {sql_token_pass(5, BASE.tokens)} UNION ALL {sql_token_pass(6, BASE.tokens)}"
-TRUTH = "SELECT DISTINCT a.entity_id AS s1, b.entity_id FROM recs a JOIN recs b ON a.country = b.country AND a.start = b.start WHERE a.source = 1 AND b.source <> 1"
+TRUTH = "SELECT 'S1-' || k AS s1, 'S' || source || '-' || k AS entity_id FROM raw_ WHERE source <> 1"
 PAIRS = "SELECT p.*, t.entity_id, t.name, t.address, t.country, q.name AS s1_name, q.address AS s1_address, q.country AS s1_country FROM ({}) p JOIN t USING (rid) JOIN q USING (s1)"
 LABELLED = f"""
     truth AS MATERIALIZED ({TRUTH}),
@@ -125,19 +135,19 @@ LABELLED = f"""
 # Normalisation and keys ---------------------------------------------------------------------
 
 
-@query("er_normalize_text", f"SELECT doc_id, {NORMALIZED} AS normalized FROM documents")
+@query("er_normalize_text", f"SELECT doc_id, {sql_normalized('text')} AS normalized FROM documents")
 def normalize_text(spark, sf_dir):
     return fixtures.table(spark, sf_dir, "documents").select("doc_id", T.normalize_text("text").alias("normalized"))
 
 
 @query("er_records", f"WITH {RECORDS} SELECT rid, entity_id, source, country, name, address, name_prefix, addr_prefix FROM t")
 def records(spark, sf_dir):
-    return fixtures.split_documents(spark, sf_dir)[1]
+    return fixtures.directory(spark, sf_dir)[1]
 
 
 @query("er_query_records", f"WITH {RECORDS} SELECT s1, country, name, address, name_prefix, addr_prefix, ordinal FROM q")
 def query_records(spark, sf_dir):
-    return fixtures.split_documents(spark, sf_dir)[0].select("s1", "country", "name", "address", "name_prefix", "addr_prefix", "ordinal")
+    return fixtures.directory(spark, sf_dir)[0].select("s1", "country", "name", "address", "name_prefix", "addr_prefix", "ordinal")
 
 
 @query(
@@ -146,7 +156,7 @@ def query_records(spark, sf_dir):
     replace(name, ' ', '') AS compact_name, {sql_acronym('name')} AS acronym, abs(length(name) - length(address))::INT AS length_difference FROM t""",
 )
 def record_keys(spark, sf_dir):
-    targets = fixtures.split_documents(spark, sf_dir)[1]
+    targets = fixtures.directory(spark, sf_dir)[1]
     keys = targets.select("entity_id", "name", "address", T.record_keys("name", "address").alias("k"))
     joined = lambda c: F.array_join(c, ",")
     return keys.select("entity_id", joined("k.name_tokens").alias("name_tokens"), joined("k.addr_tokens").alias("addr_tokens"), T.compact("name").alias("compact_name"), T.acronym("name").alias("acronym"), T.length_difference("name", "address").alias("length_difference"))
@@ -162,37 +172,39 @@ def digit_tokens(spark, sf_dir):
 
 @query("er_union_sources", f"WITH {RECORDS} SELECT source, count(*) AS n, count(DISTINCT entity_id) AS ids FROM t GROUP BY source")
 def union_sources(spark, sf_dir):
-    rows = fixtures.documents_as_businesses(spark, sf_dir)
-    both = index.union_sources({n: rows.where(F.col("source") == n).drop("source") for n in (2, 3)})
+    sources = fixtures.corrupted_directory(spark, sf_dir)[0]
+    both = index.union_sources({n: sources[n] for n in (2, 3)})
     return both.groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("entity_id").alias("ids"))
 
 
 @query("er_postings", f"WITH {RECORDS} SELECT kind, country, tok, rid FROM posted")
 def posted(spark, sf_dir):
-    return index.postings(fixtures.split_documents(spark, sf_dir)[1])
+    return index.postings(fixtures.directory(spark, sf_dir)[1])
 
 
 @query("er_token_stats", f"WITH {RECORDS} SELECT kind, tok, count(*) AS df FROM posted GROUP BY ALL")
 def token_stats(spark, sf_dir):
-    return index.token_stats(index.postings(fixtures.split_documents(spark, sf_dir)[1]))
+    return index.token_stats(index.postings(fixtures.directory(spark, sf_dir)[1]))
 
 
 @query("er_duplicate_ids", f"WITH {RECORDS} SELECT entity_id, count(*) AS rows FROM (SELECT * FROM t UNION ALL SELECT * FROM t WHERE ordinal % 10 = 1) GROUP BY entity_id HAVING count(*) > 1")
 def duplicate_ids(spark, sf_dir):
-    targets = fixtures.split_documents(spark, sf_dir)[1]
+    targets = fixtures.directory(spark, sf_dir)[1]
     again = targets.where((F.col("rid") - F.col("source").cast("long") * F.lit(1 << 56)) % 10 == 1)
     return index.duplicate_ids(targets.unionAll(again))
 
 
 @query("er_fetch_entities", f"WITH {RECORDS}, truth AS ({TRUTH}) SELECT rid, entity_id, country FROM t WHERE entity_id IN (SELECT entity_id FROM truth)")
 def fetch_entities(spark, sf_dir):
-    targets = fixtures.split_documents(spark, sf_dir)[1]
-    return blocking.fetch_entities(targets, fixtures.document_truth(spark, sf_dir)).select("rid", "entity_id", "country")
+    targets = fixtures.directory(spark, sf_dir)[1]
+    return blocking.fetch_entities(targets, fixtures.truth(spark, sf_dir)).select("rid", "entity_id", "country")
 
 
 @query("er_truth", f"WITH {RECORDS} {TRUTH}")
 def truth(spark, sf_dir):
-    return fixtures.document_truth(spark, sf_dir)
+    """Read back from comma lists, repeats and empty entries included."""
+    listed = fixtures.truth(spark, sf_dir).groupBy("s1").agg(F.concat_ws(",", F.collect_list("entity_id")).alias("ids"))
+    return validate.truth_pairs(listed.withColumn("ids", F.concat_ws(",", "ids", F.lit(""), "ids")), "s1", "ids")
 
 
 # Blocking -----------------------------------------------------------------------------------
@@ -201,7 +213,7 @@ def truth(spark, sf_dir):
 def _pass_query(name: str, number: int, limit: int) -> None:
     @query(name, f"WITH {RECORDS} SELECT s1, rid, rank FROM ({sql_key_pass(number, limit)})")
     def run(spark, sf_dir):
-        asked, targets = fixtures.split_documents(spark, sf_dir)
+        asked, targets = fixtures.directory(spark, sf_dir)
         return blocking.key_pass(asked, targets, number, limit).select("s1", "rid", "rank")
 
 
@@ -214,7 +226,7 @@ _pass_query("er_block_address_prefix", blocking.ADDRESS_PREFIX, BASE.address_pre
 def _token_query(name: str, number: int, limit: int, first: int | None = None) -> None:
     @query(name, f"WITH {RECORDS} SELECT s1, rid, rank FROM ({sql_token_pass(number, limit, first)})")
     def run(spark, sf_dir):
-        asked, targets = fixtures.split_documents(spark, sf_dir)
+        asked, targets = fixtures.directory(spark, sf_dir)
         return blocking.token_pass(asked, index.postings(targets), number, limit, first).select("s1", "rid", "rank")
 
 
@@ -225,19 +237,19 @@ _token_query("er_block_first_name_tokens", blocking.NAME_TOKENS, CASCADE.tokens,
 
 @query("er_candidates_exact_name", f"WITH {RECORDS}, c AS ({sql_key_pass(1, BASE.exact_name)}) SELECT q.s1, coalesce(string_agg(t.entity_id, ',' ORDER BY c.rank), '') AS candidate_entity_ids FROM q LEFT JOIN c USING (s1) LEFT JOIN t ON t.rid = c.rid GROUP BY q.s1")
 def candidates_exact_name(spark, sf_dir):
-    asked, targets = fixtures.split_documents(spark, sf_dir)
+    asked, targets = fixtures.directory(spark, sf_dir)
     pairs = blocking.key_pass(asked, targets, blocking.EXACT_NAME, BASE.exact_name).join(targets.select("rid", "entity_id"), "rid")
     return lists.for_all(asked, lists.id_lists(pairs, ["rank"], "candidate_entity_ids"), "candidate_entity_ids")
 
 
 @query("er_candidates_training", f"WITH {RECORDS} {sql_first_seen(KEYED)}")
 def candidates_training(spark, sf_dir):
-    return blocking.training_passes(*fixtures.split_documents(spark, sf_dir), BASE)
+    return blocking.training_passes(*fixtures.indexed(spark, sf_dir), BASE)
 
 
 @query("er_candidates_base", f"WITH {RECORDS} {sql_first_seen(ALL_PASSES)}")
 def candidates_base(spark, sf_dir):
-    asked, targets = fixtures.split_documents(spark, sf_dir)
+    asked, targets = fixtures.indexed(spark, sf_dir)
     return blocking.all_passes(asked, targets, index.postings(targets), BASE)
 
 
@@ -251,13 +263,13 @@ CASCADE_SQL = f"""WITH {RECORDS}, c1 AS MATERIALIZED ({sql_key_pass(1, CASCADE.e
 
 @query("er_candidates_cascade", CASCADE_SQL)
 def candidates_cascade(spark, sf_dir):
-    asked, targets = fixtures.split_documents(spark, sf_dir)
+    asked, targets = fixtures.indexed(spark, sf_dir)
     return blocking.cascade(asked, targets, index.postings(targets), CASCADE)
 
 
 @query("er_candidate_lists", f"WITH {RECORDS}, c AS ({sql_first_seen(ALL_PASSES)}) SELECT q.s1, coalesce(string_agg(t.entity_id, ',' ORDER BY c.ord), '') AS candidate_entity_ids FROM q LEFT JOIN c USING (s1) LEFT JOIN t ON t.rid = c.rid GROUP BY q.s1")
 def candidate_lists(spark, sf_dir):
-    asked, targets = fixtures.split_documents(spark, sf_dir)
+    asked, targets = fixtures.indexed(spark, sf_dir)
     pairs = blocking.all_passes(asked, targets, index.postings(targets), BASE).join(targets.select("rid", "entity_id"), "rid")
     return lists.for_all(asked, lists.id_lists(pairs, ["ord"], "candidate_entity_ids"), "candidate_entity_ids")
 
@@ -270,16 +282,16 @@ def candidate_counts(spark, sf_dir):
 
 @query("er_lexical_cap")
 def lexical_cap(spark, sf_dir):
-    asked, targets = fixtures.split_documents(spark, sf_dir)
+    asked, targets = fixtures.indexed(spark, sf_dir)
     pairs = blocking.with_records(blocking.all_passes(asked, targets, index.postings(targets), BASE), asked, targets)
-    return blocking.lexical_cap(pairs, BASE.final, features.lexical_score()).select("s1", "rid", "entity_id", "ord")
+    return blocking.lexical_cap(pairs, BASE.final, features.lexical_score).select("s1", "rid", "entity_id", "ord")
 
 
 # Similarity and features --------------------------------------------------------------------
 
 
 def prefix_pairs(spark, sf_dir) -> DataFrame:
-    asked, targets = fixtures.split_documents(spark, sf_dir)
+    asked, targets = fixtures.indexed(spark, sf_dir)
     return blocking.with_records(blocking.key_pass(asked, targets, blocking.NAME_PREFIX, BASE.name_prefix), asked, targets)
 
 
@@ -325,8 +337,8 @@ def pair_features(spark, sf_dir):
 
 
 def labelled(spark, sf_dir) -> DataFrame:
-    asked, targets = fixtures.split_documents(spark, sf_dir)
-    marked = selection.with_truth(blocking.training_passes(asked, targets, BASE), fixtures.document_truth(spark, sf_dir), targets)
+    asked, targets = fixtures.indexed(spark, sf_dir)
+    marked = selection.with_truth(blocking.training_passes(asked, targets, BASE), fixtures.truth(spark, sf_dir), targets)
     return blocking.with_records(marked, asked, targets)
 
 
@@ -413,12 +425,12 @@ def roc_auc_ties(spark, sf_dir):
 def match_lists(spark, sf_dir):
     pairs = scored(spark, sf_dir).where(F.col("score") >= 0.44)
     listed = lists.id_lists(pairs, [(-F.col("score")).alias("minus"), "ord"], "matched_entity_ids")
-    return lists.for_all(fixtures.split_documents(spark, sf_dir)[0], listed, "matched_entity_ids")
+    return lists.for_all(fixtures.directory(spark, sf_dir)[0], listed, "matched_entity_ids")
 
 
 def faulty_outputs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Lists with one stated fault of each kind for every so many documents."""
-    docs = fixtures.table(spark, sf_dir, "documents").where("doc_id % 3 = 0").select("doc_id", F.concat(F.lit("S1-"), "doc_id").alias("id"))
+    docs = fixtures.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("S1-"), "doc_id").alias("id"))
     ids = lambda *parts: F.concat_ws(",", *parts)
     matches = docs.where("doc_id % 11 <> 0").select(F.when(F.expr("doc_id % 13 = 0"), F.concat(F.lit("S1-x"), "doc_id")).otherwise(F.col("id")).alias("source1_entity_id"), F.when(F.expr("doc_id % 5 = 0"), F.lit("")).otherwise(ids(F.concat(F.lit("S2-"), "doc_id"), F.concat(F.when(F.expr("doc_id % 7 = 0"), F.lit("S9-")).otherwise(F.lit("S3-")), "doc_id"))).alias("matched_entity_ids"), "doc_id")
     again = matches.where("doc_id % 17 = 0")
@@ -427,7 +439,7 @@ def faulty_outputs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     return matches.unionAll(again).drop("doc_id"), candidates.unionAll(later), docs.select(F.col("id").alias("entity_id"))
 
 
-FAULTS = """WITH docs AS (SELECT doc_id, 'S1-' || doc_id AS id FROM documents WHERE doc_id % 3 = 0),
+FAULTS = """WITH docs AS (SELECT doc_id, 'S1-' || doc_id AS id FROM documents),
     m0 AS (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN 'S1-x' || doc_id ELSE id END AS s1, CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'S2-' || doc_id || ',' || CASE WHEN doc_id % 7 = 0 THEN 'S9-' ELSE 'S3-' END || doc_id END AS ids FROM docs WHERE doc_id % 11 <> 0),
     m AS (SELECT * FROM m0 UNION ALL SELECT * FROM m0 WHERE doc_id % 17 = 0),
     c AS (SELECT id AS s1, CASE WHEN doc_id % 23 = 0 THEN 'S2-' || doc_id ELSE 'S2-' || doc_id || ',S3-' || doc_id END AS ids FROM docs WHERE doc_id % 19 <> 0 OR doc_id % 23 = 0),
@@ -446,7 +458,7 @@ def faults(spark, sf_dir):
     return validate.fault_counts(matches, candidates, asked, ordinal="ordinal")
 
 
-@query("er_last_candidate_rows", "SELECT 'S1-' || doc_id AS source1_entity_id, CASE WHEN doc_id % 23 = 0 THEN 'S2-' || doc_id ELSE 'S2-' || doc_id || ',S3-' || doc_id END AS candidate_entity_ids FROM documents WHERE doc_id % 3 = 0 AND (doc_id % 19 <> 0 OR doc_id % 23 = 0)")
+@query("er_last_candidate_rows", "SELECT 'S1-' || doc_id AS source1_entity_id, CASE WHEN doc_id % 23 = 0 THEN 'S2-' || doc_id ELSE 'S2-' || doc_id || ',S3-' || doc_id END AS candidate_entity_ids FROM documents WHERE doc_id % 19 <> 0 OR doc_id % 23 = 0")
 def last_candidate_rows(spark, sf_dir):
     return validate.last_rows(faulty_outputs(spark, sf_dir)[1], "source1_entity_id", "candidate_entity_ids", "ordinal")
 
