@@ -67,6 +67,49 @@ def sql_ratio(a: str, b: str) -> str:
     return f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE 2.0 * {sql_lcs(a, b)} / (length({a}) + length({b})) END"
 
 
+def sql_lcs_bits(a: str, b: str) -> str:
+    """The same by whole rows of the table in the bits of one integer; for strings of up to 120 letters."""
+    place = f"list_sum(list_transform(range(1, length({a}) + 1), lambda i: CASE WHEN {a}[i::BIGINT] = c THEN 1::HUGEINT << (i - 1)::INT ELSE 0::HUGEINT END))::HUGEINT"
+    full = f"((1::HUGEINT << length({a})::INT) - 1)"
+    rows_ = f"list_transform(string_split({b}, ''), lambda c: coalesce({place}, 0::HUGEINT))"
+    step = f"lambda r, x: ((r + (r & x)) | (r - (r & x))) & {full}"
+    return f"(length({a}) - bit_count(list_reduce(list_prepend({full}, {rows_}), {step})))"
+
+
+def sql_ratio_bits(a: str, b: str) -> str:
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * {sql_lcs_bits(a, b)} / (length({a}) + length({b})) END"
+
+
+def sql_similarities(pairs: str, keep: str) -> str:
+    """All features of a table of pairs (s1_name, name, s1_address, address, s1_country, country), by steps.
+
+    The weighted ratio is that of strings less than 1.5 times as long as each other, as the directory's are.
+    """
+    sides = (("name", "s1_name", "name"), ("addr", "s1_address", "address"))
+    cut, rest, some, whole = [], [], [], []
+    for m, a, b in sides:
+        words_a, words_b = f"list_distinct(string_split({a}, ' '))", f"list_distinct(string_split({b}, ' '))"
+        cut += [f"array_to_string(list_sort(list_filter({words_a}, lambda x: list_contains({words_b}, x))), ' ') AS {m}_c", f"array_to_string(list_sort(list_filter({words_a}, lambda x: NOT list_contains({words_b}, x))), ' ') AS {m}_l", f"array_to_string(list_sort(list_filter({words_b}, lambda x: NOT list_contains({words_a}, x))), ' ') AS {m}_r", f"{sql_sorted(a)} AS {m}_sa", f"{sql_sorted(b)} AS {m}_sb"]
+        rest += [f"{sql_ratio_bits(a, b)} AS {m}_ratio", f"{sql_ratio_bits(f'{m}_sa', f'{m}_sb')} AS {m}_token_sort", f"CASE WHEN {m}_l = '' OR {m}_r = '' THEN 0 ELSE {sql_lcs_bits(f'{m}_l', f'{m}_r')} END AS {m}_lcs", f"length({m}_c) AS {m}_n", f"(length({m}_c) > 0)::INT AS {m}_gap"]
+        size_l, size_r = f"({m}_n + {m}_gap + length({m}_l))", f"({m}_n + {m}_gap + length({m}_r))"
+        plain = f"1 - (length({m}_l) + length({m}_r) - 2 * {m}_lcs)::DOUBLE / ({size_l} + {size_r})"
+        some += [f"""CASE WHEN {a} = '' OR {b} = '' THEN 0.0 WHEN {m}_l = '' OR {m}_r = '' THEN (CASE WHEN {m}_n > 0 THEN 1.0 ELSE 0.0 END) WHEN {m}_gap = 0 THEN {plain}
+            ELSE greatest({plain}, 1 - (1 + length({m}_l))::DOUBLE / ({m}_n + {size_l}), 1 - (1 + length({m}_r))::DOUBLE / ({m}_n + {size_r})) END AS {m}_token_set""", f"({sql_char_jaccard_bits(a, b)})::DOUBLE AS {m}_char_jaccard", f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE jaro_winkler_similarity({a}, {b}) END AS {m}_jaro_winkler"]
+        whole += [f"greatest({m}_ratio, 0.95 * greatest({m}_token_sort, {m}_token_set)) AS {m}_wratio"]
+    best = lambda m: f"greatest({m}_ratio, {m}_wratio, {m}_token_set, {m}_char_jaccard, {m}_jaro_winkler)"
+    native = f"""(s1_name <> '' AND s1_name = name)::INT AS exact_name, (s1_address <> '' AND s1_address = address)::INT AS exact_address, (s1_country = country)::INT AS same_country,
+        {sql_jaccard(sql_tokens('s1_name'), sql_tokens('name'))} AS name_token_jaccard, {sql_jaccard(sql_tokens('s1_address'), sql_tokens('address'))} AS addr_token_jaccard,
+        {sql_jaccard("list_distinct(regexp_extract_all(s1_address, '[0-9]+'))", "list_distinct(regexp_extract_all(address, '[0-9]+'))")} AS digit_jaccard,
+        ({sql_acronym('s1_name')} <> '' AND {sql_acronym('s1_name')} = {sql_acronym('name')})::INT AS acronym_match,
+        abs(length(s1_name) - length(name)) AS name_len_diff, abs(length(s1_address) - length(address)) AS addr_len_diff"""
+    steps = f"(SELECT *, {', '.join(whole)} FROM (SELECT *, {', '.join(some)} FROM (SELECT *, {', '.join(rest)} FROM (SELECT *, {', '.join(cut)} FROM {pairs}))))"
+    return f"SELECT {keep}, {native}, {', '.join(f'{m}_{x}' for m in ('name', 'addr') for x in features.SIDE)}, 0.58::DOUBLE * {best('name')} + 0.42::DOUBLE * {best('addr')} AS combined FROM {steps}"
+
+
+def sql_as_floats() -> str:
+    return ", ".join(f"round({n}::FLOAT::DOUBLE, 6) AS {n}" for n in features.NAMES)
+
+
 def sql_sorted(column: str) -> str:
     return f"array_to_string(list_sort(string_split({column}, ' ')), ' ')"
 
@@ -80,6 +123,11 @@ def sql_char_jaccard(a: str, b: str) -> str:
     return f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0 WHEN length({x}) < 3 OR length({y}) < 3 THEN {sql_ratio(x, y)} ELSE {sql_jaccard(sql_grams(a), sql_grams(b))} END"
 
 
+def sql_char_jaccard_bits(a: str, b: str) -> str:
+    x, y = f"replace({a}, ' ', '')", f"replace({b}, ' ', '')"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0 WHEN length({x}) < 3 OR length({y}) < 3 THEN {sql_ratio_bits(x, y)} ELSE {sql_jaccard(sql_grams(a), sql_grams(b))} END"
+
+
 def sql_normalized(column: str) -> str:
     return rf"trim(regexp_replace(replace(lower(regexp_replace(strip_accents(coalesce({column}, '')), '[^\x00-\x7F]', '', 'g')), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
 
@@ -287,6 +335,31 @@ def lexical_cap(spark, sf_dir):
     return blocking.lexical_cap(pairs, BASE.final, features.lexical_score).select("s1", "rid", "entity_id", "ord")
 
 
+TIGHT = Limits(exact_name=2, exact_address=2, name_prefix=3, address_prefix=1, tokens=5, final=4)
+TIGHT_KEYED = " UNION ALL ".join(sql_key_pass(n, most) for n, most in blocking.keyed_limits(TIGHT).items())
+
+
+@query("er_tight_passes", f"WITH {RECORDS}, f AS ({TIGHT_KEYED} UNION ALL {sql_token_pass(5, TIGHT.tokens)} UNION ALL {sql_token_pass(6, TIGHT.tokens)}) SELECT * FROM ({sql_first_seen('SELECT * FROM f')})")
+def tight_passes(spark, sf_dir):
+    """Limits that cut blocks at any size of the tables."""
+    asked, targets = fixtures.indexed(spark, sf_dir)
+    return blocking.all_passes(asked, targets, index.postings(targets), TIGHT)
+
+
+@query(
+    "er_tight_lexical_cap",
+    f"""WITH {RECORDS}, c AS ({sql_first_seen(KEYED)}), p AS MATERIALIZED ({PAIRS.format('SELECT * FROM c')}), f AS MATERIALIZED ({sql_similarities('p', 's1, rid, ord')}),
+    b AS (SELECT *, count(*) OVER (PARTITION BY s1) AS n, round(0.6 * greatest(name_ratio, name_wratio, name_token_set) + 0.4 * greatest(addr_ratio, addr_wratio, addr_token_set), 9) AS score FROM f),
+    r AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY score DESC, ord) AS place FROM b)
+    SELECT s1, rid, CASE WHEN n > {TIGHT.final} THEN place ELSE ord END::INT AS ord FROM r WHERE n <= {TIGHT.final} OR place <= {TIGHT.final}""",
+)
+def tight_lexical_cap(spark, sf_dir):
+    """The cap by its own score, on the keyed candidates."""
+    asked, targets = fixtures.indexed(spark, sf_dir)
+    pairs = blocking.with_records(blocking.training_passes(asked, targets, BASE), asked, targets)
+    return blocking.lexical_cap(pairs, TIGHT.final, lambda needed: F.round(features.lexical_score(needed), 9)).select("s1", "rid", "ord")
+
+
 # Similarity and features --------------------------------------------------------------------
 
 
@@ -328,9 +401,18 @@ def native_features(spark, sf_dir):
     return prefix_pairs(spark, sf_dir).select("s1", "rid", *(F.round(c, 6).alias(n) for n, c in features.native_features().items()))
 
 
-@query("er_pair_features")
+def floats(df: DataFrame, *keep: str) -> DataFrame:
+    return df.select(*keep, *(F.round(F.col(n).cast("double"), 6).alias(n) for n in features.NAMES))
+
+
+@query("er_pair_features", f"WITH {RECORDS}, p AS MATERIALIZED ({PREFIX_PAIRS}), f AS ({sql_similarities('p', 's1, rid')}) SELECT s1, rid, {sql_as_floats()} FROM f")
 def pair_features(spark, sf_dir):
-    return features.pair_features(prefix_pairs(spark, sf_dir)).select("s1", "rid", *features.NAMES)
+    return floats(features.pair_features(prefix_pairs(spark, sf_dir)), "s1", "rid")
+
+
+@query("er_cheap_score", f"WITH {RECORDS}, p AS ({PREFIX_PAIRS}) SELECT s1, rid, round(0.6 * ({sql_ratio_bits('s1_name', 'name')}) + 0.4 * ({sql_ratio_bits('s1_address', 'address')}), 6) AS cheap_score FROM p")
+def cheap_score(spark, sf_dir):
+    return prefix_pairs(spark, sf_dir).select("s1", "rid", F.round(features.cheap_score(), 6).alias("cheap_score"))
 
 
 # Truth, selection, metrics, validation ------------------------------------------------------
@@ -366,6 +448,21 @@ def negative_pool(spark, sf_dir):
     return selection.negative_pool(scored(spark, sf_dir), Training(), F.col("score")).select("s1", "rid", "label", "score")
 
 
+def sql_selected(scored: str, hardness: str) -> str:
+    """Positives and the chosen negatives of a table with s1, rid, label."""
+    config = Training()
+    return f"""sel1 AS (SELECT *, sum(label) OVER (PARTITION BY s1) AS pos, count(*) OVER (PARTITION BY s1, label) AS n, row_number() OVER (PARTITION BY s1, label ORDER BY {hardness} DESC, rid) AS place FROM {scored}),
+    sel2 AS (SELECT *, least(n, CASE WHEN pos > 0 THEN {config.negatives_per_positive} * pos ELSE {config.singleton_negatives} END) AS k FROM sel1),
+    sel3 AS (SELECT *, n <= k OR place <= greatest(1, round_even(k * {config.hard_fraction}, 0)) AS hard FROM sel2),
+    sel4 AS (SELECT *, row_number() OVER (PARTITION BY s1, label ORDER BY CASE WHEN hard THEN place ELSE {1 << 30} END, CASE WHEN NOT hard THEN md5('{config.sample_seed}|' || s1 || '|' || rid) END NULLS FIRST, rid) AS turn FROM sel3),
+    selected AS (SELECT * FROM sel4 WHERE label = 1 OR turn <= k)"""
+
+
+@query("er_selected_pairs", f"WITH {RECORDS}, {LABELLED}, {sql_selected('scored', 'score')} SELECT s1, rid, label FROM selected")
+def selected_pairs(spark, sf_dir):
+    return selection.select_negatives(scored(spark, sf_dir), Training(), "score").select("s1", "rid", "label")
+
+
 @query("er_select_negatives", f"""WITH {RECORDS}, {LABELLED}, sized AS (SELECT s1, sum(label) AS pos, sum(1 - label) AS neg FROM marked GROUP BY s1)
     SELECT s1, pos::BIGINT AS positives, least(neg, CASE WHEN pos > 0 THEN 6 * pos ELSE 3 END)::BIGINT AS negatives FROM sized""")
 def select_negatives(spark, sf_dir):
@@ -373,9 +470,9 @@ def select_negatives(spark, sf_dir):
     return kept.groupBy("s1").agg(F.sum("label").cast("long").alias("positives"), F.sum(1 - F.col("label")).cast("long").alias("negatives"))
 
 
-@query("er_group_split")
+@query("er_group_split", f"WITH {RECORDS}, {LABELLED} SELECT s1, rid, ('0x' || left(md5('{Training().split_seed}|' || s1), 8))::BIGINT / {1 << 32}::DOUBLE >= {Training().train_share} AS is_validation FROM marked")
 def group_split(spark, sf_dir):
-    return selection.group_split(labelled(spark, sf_dir), Training()).groupBy("is_validation").agg(F.count("*").alias("pairs"), F.countDistinct("s1").alias("groups"))
+    return selection.group_split(labelled(spark, sf_dir), Training()).select("s1", "rid", "is_validation")
 
 
 COUNTS = "sum((score >= {t} AND label = 1)::INT)::BIGINT AS tp, sum((score >= {t} AND label = 0)::INT)::BIGINT AS fp, sum((score < {t} AND label = 1)::INT)::BIGINT AS fn, sum((score < {t} AND label = 0)::INT)::BIGINT AS tn"
@@ -473,13 +570,19 @@ def directory_truth(spark, sf_dir):
 # Model ----------------------------------------------------------------------------------------
 
 
-@query("er_training_pairs")
+TRAINING = f"""
+    cheap AS (SELECT *, 0.6 * ({sql_ratio_bits('s1_name', 'name')}) + 0.4 * ({sql_ratio_bits('s1_address', 'address')}) AS score FROM pairs),
+    {POOL.replace('FROM scored', 'FROM cheap')},
+    feat AS MATERIALIZED ({sql_similarities('pool', 's1, rid, label')}),
+    rough AS (SELECT * REPLACE (combined::FLOAT AS combined) FROM feat), {sql_selected('rough', 'combined')}"""
+
+
+@query("er_training_pairs", f"WITH {RECORDS}, {LABELLED}, {TRAINING} SELECT s1, rid, label, {sql_as_floats()} FROM selected")
 def training_pairs(spark, sf_dir):
     from . import train
 
-    sources, pairs = fixtures.corrupted_directory(spark, sf_dir)
-    targets = index.records(index.union_sources({n: sources[n] for n in (2, 3)}))
-    return train.training_pairs(train.queries_of(sources[1]), targets, pairs, Settings()).select("s1", "rid", "label", *features.NAMES)
+    asked, targets = fixtures.indexed(spark, sf_dir)
+    return floats(train.training_pairs(asked, targets, fixtures.truth(spark, sf_dir), Settings()), "s1", "rid", "label")
 
 
 def _predict(strategy: str):
@@ -487,10 +590,8 @@ def _predict(strategy: str):
         from . import predict, train
 
         settings = Settings()
-        sources, pairs = fixtures.corrupted_directory(spark, sf_dir)
-        targets = index.records(index.union_sources({n: sources[n] for n in (2, 3)}))
-        asked = train.queries_of(sources[1])
-        learned = selection.group_split(train.training_pairs(asked, targets, pairs, settings), settings.training).persist()
+        asked, targets = fixtures.indexed(spark, sf_dir)
+        learned = selection.group_split(train.training_pairs(asked, targets, fixtures.truth(spark, sf_dir), settings), settings.training).persist()
         stopped, calibrator, held, threshold = train.fit(learned, settings.training)
         held.unpersist()
         model = train.fit_trees(learned, settings.training, train.tree_count(stopped))
