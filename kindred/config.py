@@ -50,12 +50,18 @@ class Training:
     sample_seed: int = 42
     split_seed: int = 123
     model_seed: int = 42
+    # Fixed values of the boosted trees.
     trees: int = 1200
-    patience_tolerance: float = 0.0001
+    patience: int = 80
     learning_rate: float = 0.03
+    leaves: int = 47
     depth: int = 8
     min_rows: int = 30
     subsample: float = 0.85
+    l1: float = 0.2
+    l2: float = 2.0
+    #: Labelled pairs that are fitted at most; of more, a seeded sample.
+    fit_rows: int = 1_000_000
     beta: float = 0.5
 
 

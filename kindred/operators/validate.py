@@ -29,8 +29,9 @@ def last_rows(lists: DataFrame, key: str, value: str, ordinal: str | None = None
 
 
 def exploded(lists: DataFrame, key: str, value: str) -> DataFrame:
-    """(key, id) of comma lists; repeats within a list stay, empty entries don't."""
-    return lists.select(key, F.explode(F.filter(F.split(F.coalesce(F.col(value), F.lit("")), ","), lambda x: x != "")).alias("id"))
+    """(key, id) of comma lists; repeats and empty entries within a list stay, an empty list has no entry."""
+    held = F.coalesce(F.col(value), F.lit(""))
+    return lists.where(held != "").select(key, F.explode(F.split(held, ",")).alias("id"))
 
 
 def fault_counts(matches: DataFrame, candidates: DataFrame, queries: DataFrame, key: str = "source1_entity_id", matched: str = "matched_entity_ids", listed: str = "candidate_entity_ids", ordinal: str | None = None) -> DataFrame:

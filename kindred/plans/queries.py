@@ -529,7 +529,7 @@ def faulty_outputs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Lists with one stated fault of each kind for every so many documents."""
     docs = fixtures.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("S1-"), "doc_id").alias("id"))
     ids = lambda *parts: F.concat_ws(",", *parts)
-    matches = docs.where("doc_id % 11 <> 0").select(F.when(F.expr("doc_id % 13 = 0"), F.concat(F.lit("S1-x"), "doc_id")).otherwise(F.col("id")).alias("source1_entity_id"), F.when(F.expr("doc_id % 5 = 0"), F.lit("")).otherwise(ids(F.concat(F.lit("S2-"), "doc_id"), F.concat(F.when(F.expr("doc_id % 7 = 0"), F.lit("S9-")).otherwise(F.lit("S3-")), "doc_id"))).alias("matched_entity_ids"), "doc_id")
+    matches = docs.where("doc_id % 11 <> 0").select(F.when(F.expr("doc_id % 13 = 0"), F.concat(F.lit("S1-x"), "doc_id")).otherwise(F.col("id")).alias("source1_entity_id"), F.when(F.expr("doc_id % 5 = 0"), F.lit("")).when(F.expr("doc_id % 29 = 0"), F.concat(F.lit("S2-"), "doc_id", F.lit(",,S3-"), "doc_id")).otherwise(ids(F.concat(F.lit("S2-"), "doc_id"), F.concat(F.when(F.expr("doc_id % 7 = 0"), F.lit("S9-")).otherwise(F.lit("S3-")), "doc_id"))).alias("matched_entity_ids"), "doc_id")
     again = matches.where("doc_id % 17 = 0")
     candidates = docs.where("doc_id % 19 <> 0").select(F.col("id").alias("source1_entity_id"), ids(F.concat(F.lit("S2-"), "doc_id"), F.concat(F.lit("S3-"), "doc_id")).alias("candidate_entity_ids"), F.lit(0).alias("ordinal"))
     later = docs.where("doc_id % 23 = 0").select(F.col("id").alias("source1_entity_id"), F.concat(F.lit("S2-"), "doc_id").alias("candidate_entity_ids"), F.lit(1).alias("ordinal"))
@@ -537,7 +537,7 @@ def faulty_outputs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 FAULTS = """WITH docs AS (SELECT doc_id, 'S1-' || doc_id AS id FROM documents),
-    m0 AS (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN 'S1-x' || doc_id ELSE id END AS s1, CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'S2-' || doc_id || ',' || CASE WHEN doc_id % 7 = 0 THEN 'S9-' ELSE 'S3-' END || doc_id END AS ids FROM docs WHERE doc_id % 11 <> 0),
+    m0 AS (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN 'S1-x' || doc_id ELSE id END AS s1, CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 29 = 0 THEN 'S2-' || doc_id || ',,S3-' || doc_id ELSE 'S2-' || doc_id || ',' || CASE WHEN doc_id % 7 = 0 THEN 'S9-' ELSE 'S3-' END || doc_id END AS ids FROM docs WHERE doc_id % 11 <> 0),
     m AS (SELECT * FROM m0 UNION ALL SELECT * FROM m0 WHERE doc_id % 17 = 0),
     c AS (SELECT id AS s1, CASE WHEN doc_id % 23 = 0 THEN 'S2-' || doc_id ELSE 'S2-' || doc_id || ',S3-' || doc_id END AS ids FROM docs WHERE doc_id % 19 <> 0 OR doc_id % 23 = 0),
     mi AS (SELECT s1, unnest(string_split(ids, ',')) AS x FROM m WHERE ids <> ''),

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import SparkSession
 
 from ..config import Decision, Settings
+from ..operators.trees import Trees
 from . import tsv
 
 
@@ -25,12 +25,12 @@ def read_text(spark: SparkSession, path: str) -> str:
     return "\n".join(r[0] for r in spark.read.text(path).collect())
 
 
-def save_model(model: PipelineModel, settings: Settings) -> None:
-    model.write().overwrite().save(settings.artifact("model"))
+def save_model(model: Trees, settings: Settings) -> None:
+    write_text(SparkSession.active(), settings.artifact("model"), model.to_json())
 
 
-def load_model(settings: Settings) -> PipelineModel:
-    return PipelineModel.load(settings.artifact("model"))
+def load_model(settings: Settings) -> Trees:
+    return Trees.from_json(read_text(SparkSession.active(), settings.artifact("model")))
 
 
 def save_calibrator(calibrator: IsotonicRegressionModel | None, settings: Settings) -> None:

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..config import RECORD_COLUMNS, Settings
+from ..operators.trees import Trees
 from ..plans import predict, train
 from ..sources.tsv import FORMAT
 
 
-def answer(rows: DataFrame, targets: DataFrame, posted: DataFrame, model: PipelineModel, calibrator: IsotonicRegressionModel | None, threshold: float, settings: Settings, strategy: str = "base") -> DataFrame:
+def answer(rows: DataFrame, targets: DataFrame, posted: DataFrame, model: Trees, calibrator: IsotonicRegressionModel | None, threshold: float, settings: Settings, strategy: str = "base") -> DataFrame:
     """(s1, matched) of raw query records."""
     queries = train.queries_of(rows, settings.limits.prefix_length)
     pairs = predict.candidates(queries, targets, posted, settings, strategy)
