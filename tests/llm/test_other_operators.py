@@ -1,6 +1,9 @@
 """URL filter, BPE, embeddings, media, sharding and quality, with the odd cases of each."""
 
 import hashlib
+import sys
+import subprocess
+import os
 import io
 import zlib
 from collections import Counter, defaultdict
@@ -67,6 +70,31 @@ def test_classifier_tells_hosts_apart(spark):
     assert [r.verdict for r in got] == ["allow" if r.page_id else "block" for r in got]
 
 
+def test_block_probability_equals_a_plain_logistic_function(spark):
+    model = url_filter.train(spark)
+    terms, fitted = model.stages
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(URLS) if u is None or len(u) < 1000], "page_id long, url string")
+    urls = {r.page_id: r.url for r in rows.collect()}
+    for r in url_filter.judge(rows, model, rules=()).collect():
+        grams = set()
+        for mark, part in zip(("h:", "p:"), plain_parts(urls[r.page_id])):
+            framed = f"^{part}$"
+            grams |= {mark + framed[i : i + n] for n in (3, 4, 5) for i in range(len(framed) - n + 1)}
+        z = fitted.intercept + sum(fitted.coefficients[i] for i in {terms.indexOf(g) for g in grams})
+        assert abs(r.block_probability - 1 / (1 + np.exp(-z))) < 1e-9, urls[r.page_id]
+
+
+def test_url_filter_on_hosts_that_the_table_lacks(spark):
+    bad = {"casino-win", "adult-x", "spam-farm", "cheap-pills", "ads-track", "free-bets"}
+    known = {name for name, _ in url_filter.host_names()}
+    pages = QUERIES["op2_url_filter"](spark, "/root/testdata/sf0.1").where("rule is null").collect()
+    names = {r.host.split(".example.")[0].split(".")[-1] for r in pages}
+    assert not known & names and len(names & bad) >= 4
+    counts = Counter((any(b in r.host for b in bad), r.verdict) for r in pages)
+    assert counts[True, "block"] >= 0.9 * (counts[True, "block"] + counts[True, "allow"])
+    assert counts[True, "block"] >= 0.9 * (counts[True, "block"] + counts[False, "block"])
+
+
 def test_url_filter_is_native(spark, small):
     plan = QUERIES["op2_url_filter"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
@@ -116,6 +144,21 @@ def test_bpe_rows(spark, small):
     assert bpe.encoded(rows.limit(0), WORD).count() == 0
 
 
+def test_bpe_of_a_million_letters_takes_little_memory():
+    code = f"""
+import resource, numpy as np
+from kindred.llm import bpe
+model = bpe.WordBpe({WORD!r})
+start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+word = "".join(chr(97 + int(x)) for x in np.random.default_rng(1).integers(0, 26, 1_000_000))
+ids, shown = model.encode([word])[0][0]
+assert shown.replace("</w>", "").replace(" ", "") == word
+assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - start < 500_000
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    subprocess.run([sys.executable, "-c", code], check=True, env=os.environ | {"PYTHONPATH": root})
+
+
 def test_tokenized_keeps_ids_and_text(spark, small):
     docs = documents(spark, small).select("doc_id", "text").unionAll(spark.createDataFrame([(None, None), (-1, "")], "doc_id long, text string"))
     library = Tokenizer.from_file(WORD)
@@ -128,6 +171,14 @@ def test_tokenized_keeps_ids_and_text(spark, small):
 # Embeddings
 
 
+def test_rows_that_share_an_id_but_not_the_vector(spark):
+    a, b = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
+    near = lambda v: [x + 0.01 for x in v]
+    rows = spark.createDataFrame([(1, "x", a), (1, "x", b), (2, "x", near(a)), (3, "x", near(b))], "vec_id long, label string, embedding array<double>")
+    got = Counter((r.vec_id, r.n_links, r.component_id) for r in embed_dedup.near_duplicates(rows).collect())
+    assert got == {(1, 1, 1): 2, (2, 1, 1): 1, (3, 1, 1): 1}
+
+
 def brute_vectors(rows, limit=0.98):
     usable = {}
     for i, (vec, v, label) in enumerate(rows):
