@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Workspace
+from ._common import Workspace, in_arrow
 from ._graph import components
 
 TABLES, PROBES, SEED = 8, 4, 11
@@ -77,7 +77,8 @@ def near_duplicates(vectors: DataFrame, limit: float = 0.98, vec_id: str = "vec_
     links with nothing, nor does a row without an id: its component is its own id. Equal
     vectors of a label are one class (linked with each other, cosine 1), which is searched
     once; a row's links are its class's other rows and all rows of the linked classes.
-    Repeated rows count as often as they occur.
+    Repeated rows count as often as they occur, and rows that share an id but not the vector
+    are rows of their own.
     """
     ws = Workspace(vectors.sparkSession, "embed")
     values = F.col(vector).cast("array<double>")
@@ -85,7 +86,7 @@ def near_duplicates(vectors: DataFrame, limit: float = 0.98, vec_id: str = "vec_
     finite = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("ok", F.coalesce(usable, F.lit(False)))
-    classes = ws.save(rows.where("ok").groupBy("label", "v").agg(F.min("vec_id").alias("c"), F.count("*").alias("n")), "classes")
+    classes = ws.save(rows.where("ok").groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("n")).withColumn("c", F.monotonically_increasing_id()), "classes")
     label_type = dict(classes.dtypes)["label"]
 
     def hashed(batches):
@@ -108,7 +109,7 @@ def near_duplicates(vectors: DataFrame, limit: float = 0.98, vec_id: str = "vec_
                     names=["c", "label", "dim", "tab", "bucket", "own"],
                 )
 
-    probed = ws.save(classes.select("c", "label", "v").mapInArrow(hashed, f"c long, label {label_type}, dim int, tab int, bucket long, own boolean"), "buckets")
+    probed = ws.save(in_arrow(classes.select("c", "label", "v"), hashed, f"c long, label {label_type}, dim int, tab int, bucket long, own boolean"), "buckets")
     key = ["label", "dim", "tab", "bucket"]
     # A bucket of one own vector and no other probe makes no pair: only buckets with two or more meet.
     own = probed.where("own").select(*key, F.col("c").alias("a"))
@@ -126,11 +127,13 @@ def near_duplicates(vectors: DataFrame, limit: float = 0.98, vec_id: str = "vec_
                 near = part.take(pa.array(np.flatnonzero((x * y).sum(axis=1) >= limit)))
                 yield pa.RecordBatch.from_arrays([near.column(i) for i in range(4)], names=["a", "b", "na", "nb"])
 
-    links = ws.save(full.mapInArrow(verified, "a long, b long, na long, nb long"), "links")
+    links = ws.save(in_arrow(full, verified, "a long, b long, na long, nb long"), "links")
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), ws)
     others = links.select(F.col("a").alias("c"), F.col("nb").alias("m")).unionAll(links.select("b", "na")).groupBy("c").agg(F.sum("m").alias("m"))
-    per_class = classes.select("label", "v", "c", "n").join(others, "c", "left").join(roots.withColumnRenamed("node", "c"), "c", "left")
-    per_class = ws.save(per_class.select("label", "v", (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_links"), F.coalesce("root", "c").alias("component_id")), "by-class")
+    rooted = classes.join(others, "c", "left").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    per_class = rooted.join(smallest, "root").select("label", "v", (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_links"), "component_id")
+    per_class = ws.save(per_class, "by-class")
     fine = rows.where("ok").join(per_class, ["label", "v"]).select("vec_id", "n_links", "component_id")
     rest = rows.where(~F.col("ok")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return fine.unionAll(rest).withColumn("kept", F.col("vec_id") == F.col("component_id"))
