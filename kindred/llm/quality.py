@@ -87,13 +87,16 @@ def fit(rows: np.ndarray, labels: np.ndarray, rank: int = RANK, seed: int = 5) -
 
 
 def vote(model: Model, rows: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
-    """Scores from 0 to 1; a text without terms has the prior."""
-    near = project(rows, model) @ model.voters.T
+    """Scores from 0 to 1; a text without terms has the prior. Voters as near as the last one chosen vote too.
+
+    Cosines are rounded to five places, so that the batch that a text comes in doesn't tell.
+    """
+    near = np.round((project(rows, model) @ model.voters.T).astype(np.float64), 5)
     k = min(neighbours, near.shape[1])
-    top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-    weight = np.maximum(np.take_along_axis(near, top, axis=1), 0).astype(np.float64) ** POWER
+    last = np.partition(near, -k, axis=1)[:, -k, None]
+    weight = np.where(near >= last, np.maximum(near, 0), 0) ** POWER
     total = weight.sum(axis=1)
-    return np.where(total > 0, (weight * model.labels[top]).sum(axis=1) / np.where(total > 0, total, 1), model.prior)
+    return np.where(total > 0, (weight @ model.labels) / np.where(total > 0, total, 1), model.prior)
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Model | None:
@@ -126,19 +129,21 @@ def held_out(doc_id):
 
 
 def scored(docs: DataFrame, model: Model | None, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` and __score of every row. Null and empty texts have the sample's share of label 1."""
+    """The columns ``keep`` and __k_score of every row. Null and empty texts have the sample's share of label 1."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes if n in keep)
-    names = [n for n in docs.columns if n in keep]
+    held = [(n, t) for n, t in docs.dtypes if n in keep]
+    names = [n for n, _ in held]
+    at = names.index(text) if text in names else len(names)
 
     def of(batch: pa.RecordBatch):
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            raw = part.column(part.num_columns - 1).to_pylist()
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            raw = [r or b"" for r in part.column(at).cast(pa.binary()).to_pylist()]
             scores = np.full(len(raw), 0.5) if sent.value is None else vote(sent.value, np.stack([terms(r) for r in raw]))
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(np.clip(scores, 0, 1))], names=[*names, "__score"])
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(np.clip(scores, 0, 1))], names=[*names, "__k_score"])
 
-    return map_arrow(docs.select(*names, utf8(text).alias("__raw")), of, f"{fields}, __score double")
+    columns = [F.col(f"`{n}`") for n in names] + ([] if text in names else [F.col(text)])
+    return map_arrow(docs.select(*columns), of, ", ".join(f"`{n}` {t}" for n, t in held) + ", __k_score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: float = LIMIT) -> DataFrame:
@@ -146,11 +151,11 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     model = train(docs, labels, doc_id, text)
     out = scored(docs.select(doc_id, text), model, [doc_id], text)
     held = F.coalesce(held_out(F.col(doc_id)), F.lit(False))
-    return out.select(F.col(doc_id).alias("doc_id"), held.alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= limit).cast("int").alias("predicted"))
+    return out.select(F.col(doc_id).alias("doc_id"), held.alias("held_out"), F.col("__k_score").alias("score"), (F.col("__k_score") >= limit).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: float = LIMIT) -> DataFrame:
     """The rows that the classifier doesn't reject, with all their columns."""
     model = train(docs, labels, doc_id, text)
     out = scored(docs, model, docs.columns, text)
-    return out.where(F.col("__score") >= limit).select(*docs.columns)
+    return out.where(F.col("__k_score") >= limit).select(*docs.columns)

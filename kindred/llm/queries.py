@@ -41,7 +41,7 @@ def op4_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media_features(table(spark, sf_dir, "documents")).drop("tile")
+    return media.media_features(table(spark, sf_dir, "documents"))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
