@@ -15,20 +15,23 @@ from pyspark.sql import functions as F
 #: In force while a table is written: it replaces the step's shuffle files, and Python gets whole
 #: texts in batches that a worker can hold several times over.
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", ROWS: "2000"}
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", ROWS: "1000"}
 LIBC = ctypes.CDLL(None)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where it is unset (local tests) a temporary folder is made and set.
+    Where it is unset, a temporary folder is made and set in local mode (tests); on a cluster
+    that would be a folder of one machine, so it is a ValueError there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = known.get() if known.isDefined() else None
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="kindred-checkpoints-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are looked at together.
-TOGETHER = 8 << 20
+TOGETHER = 4 << 20
 def pieces_of(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts have up to TOGETHER bytes, one row at least."""
     ends = np.asarray(batch.column(column).offsets) if hasattr(batch.column(column), "offsets") else np.frombuffer(batch.column(column).buffers()[1], np.int32)[batch.column(column).offset :][: batch.num_rows + 1]
@@ -31,7 +31,7 @@ class Table:
     Beyond ``limit`` bytes only the parts of the last batch stay.
     """
 
-    def __init__(self, learn: Callable[[list[str]], list[bytes | None]], limit: int = 32 << 20):
+    def __init__(self, learn: Callable[[list[str]], list[bytes | None]], limit: int = 16 << 20):
         self.learn, self.limit = learn, limit
         self.parts, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
 

@@ -48,7 +48,11 @@ class ByteTokenizer:
 
         self.path, self.tokenizer = path, None
         with open(path, encoding="utf-8") as f:
-            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
+            spec = f.read()
+        # Only this list of the file; the rest, decoded, would take many times its size.
+        found = re.search(r'"added_tokens"\s*:\s*', spec)
+        self.special = [t["content"] for t in json.JSONDecoder().raw_decode(spec, found.end())[0]] if found else []
+        del spec
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("parts", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ._common import in_arrow
+
 BUCKET_BYTES = 32 << 20
 #: Rows of (bucket, start), 12 bytes each, that are broadcast at most; more are joined by a shuffle.
 BROADCAST_BUCKETS = 200_000
@@ -56,7 +58,7 @@ def scattered(docs: DataFrame, shards: int, seed: int, doc_id: str, text: str, p
             shard, grown = (pa.array(jump(key, n).astype(np.int32)) for n in (shards, shards + 1))
             yield pa.RecordBatch.from_arrays([*batch.columns, shard, grown], names=[*columns, "__key", "__shard", "__grown"])
 
-    placed = held.mapInArrow(place, f"{fields_of(docs)}, __key long, __shard int, __grown int")
+    placed = in_arrow(held, place, f"{fields_of(docs)}, __key long, __shard int, __grown int")
     # The hash that spreads a shard over its buckets takes the text in: rows that share an id spread too.
     spread = F.pmod(F.xxhash64("__key", F.col(text), F.lit(seed + 1)), F.lit(per_shard)).cast("int")
     return placed.withColumn("__bucket", F.col("__shard") * F.lit(per_shard) + spread).drop("__key")

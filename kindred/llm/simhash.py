@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Workspace, keyed, map_arrow, utf8
+from ._common import Workspace, in_arrow, keyed, map_arrow, utf8
 from ._graph import components
 
 RADIUS = 2
@@ -135,6 +135,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 PARITY = 32
 #: A shingle in so many different texts of a batch of 512 is a common one; so many common ones are kept.
 OFTEN, COMMON = 4, 100_000
+#: Pairs of 16 bytes whose ids are broadcast at most.
+BROADCAST_PAIRS = 1_000_000
 
 
 def shingle_hashes(raw: bytes, width: int) -> np.ndarray:
@@ -191,7 +193,7 @@ def common_shingles(rows: DataFrame, text: str, width: int) -> np.ndarray:
                 found, counts = np.unique(np.concatenate(sets), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found[counts >= OFTEN].view(np.int64)), pa.array(counts[counts >= OFTEN])], names=["k", "n"])
 
-    counted = rows.select(utf8(text).alias("raw")).mapInArrow(often, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    counted = in_arrow(rows.select(utf8(text).alias("raw")), often, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
     return np.sort(counted.orderBy(F.desc("n"), "k").limit(COMMON).select("k").toArrow().column("k").to_numpy().view(np.uint64))
 
 
@@ -232,7 +234,7 @@ def prints_of(rows: DataFrame, key: str, text: str, width: int, similarity: floa
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(np.ascontiguousarray(c)) for c in columns), probes, owned], names=["id", "d0", "d1", "size", *names, "probes", "owned"])
 
     source = rows.select(F.col(key).alias("id"), utf8(text).alias("raw"))
-    return source.mapInArrow(hashed, f"id long, d0 long, d1 long, size long, {', '.join(f'{n} long' for n in names)}, probes array<long>, owned int")
+    return in_arrow(source, hashed, f"id long, d0 long, d1 long, size long, {', '.join(f'{n} long' for n in names)}, probes array<long>, owned int")
 
 
 def meetings(nodes: DataFrame, ws: Workspace) -> DataFrame:
@@ -321,26 +323,46 @@ def near_copies(rows: DataFrame, ws: Workspace, key: str, text: str = "text", wi
 
 
 def _similar(near: DataFrame, rows: DataFrame, ws: Workspace, key: str, text: str, width: int, similarity: float) -> DataFrame:
-    """Those of the pairs (u, v) whose shingle sets are similar."""
+    """Those of the pairs (u, v) whose shingle sets are similar.
+
+    Pairs first meet with bitmaps of four bits a shingle, and only those that these leave with the sets.
+    """
     near = ws.save(near, "near")
     wanted = near.select(F.col("u").alias("w")).unionAll(near.select("v")).distinct()
+    # Few ids go to the texts; beyond that bound texts and ids are joined by a shuffle.
+    wanted = F.broadcast(wanted) if near.count() <= BROADCAST_PAIRS else wanted
 
     def sets(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                found = [np.unique(shingle_hashes(raw, width)).view(np.int64) for raw in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "s"])
+                found = [np.unique(shingle_hashes(raw, width)) for raw in part.column(1).to_pylist()]
+                parity = []
+                for hashes in found:
+                    bits = 64 << max(0, (len(hashes) - 1) // 16).bit_length()
+                    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+                    parity.append(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64))
+                longs = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array(parity, longs), pa.array([x.view(np.int64) for x in found], longs)], names=["id", "n", "p", "s"])
 
     source = rows.select(F.col(key).alias("id"), utf8(text).alias("raw"))
-    shingles = ws.save(source.join(wanted, F.col("id") == F.col("w"), "left_semi").mapInArrow(sets, "id long, s array<long>"), "shingles")
-    of = lambda x: shingles.select(F.col("id").alias(x), F.col("s").alias(f"s{x}"))
+    shingles = ws.save(in_arrow(source.join(wanted, F.col("id") == F.col("w"), "left_semi"), sets, "id long, n long, p array<long>, s array<long>"), "shingles")
+    of = lambda x, *names: shingles.select(F.col("id").alias(x), *(F.col(n).alias(f"{n}{x}") for n in names))
+
+    def folded(own: str, other: str) -> Column:
+        """A bitmap folded to the length of the other; sets that can be similar differ in one doubling at most."""
+        half = (F.size(own) / 2).cast("int")
+        halves = F.zip_with(F.slice(own, F.lit(1), half), F.slice(own, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(own) > F.size(other), halves).otherwise(F.col(own))
+
+    fits = F.least("nu", "nv") >= F.lit(similarity) * F.greatest("nu", "nv")
+    differ = F.aggregate(F.zip_with(folded("pu", "pv"), folded("pv", "pu"), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+    light = near.join(of("u", "n", "p"), "u").join(of("v", "n", "p"), "v")
+    likely = ws.save(light.where(F.when(fits, _may_be_similar("nu", "nv", differ, similarity)).otherwise(F.lit(False))).select("u", "v"), "likely")
     common = F.size(F.array_intersect("su", "sv"))
-    # Lists so unequal in length can't be similar: no need to intersect them.
-    fits = F.least(F.size("su"), F.size("sv")) >= F.lit(similarity) * F.greatest(F.size("su"), F.size("sv"))
-    checked = near.join(of("u"), "u").join(of("v"), "v").where(fits & (common >= F.lit(similarity) * (F.size("su") + F.size("sv") - common)))
+    checked = likely.join(of("u", "s"), "u").join(of("v", "s"), "v").where(common >= F.lit(similarity) * (F.size("su") + F.size("sv") - common))
     out = ws.save(checked.select("u", "v"), "similar")
-    ws.drop(near, shingles)
+    ws.drop(near, shingles, likely)
     return out
 
 

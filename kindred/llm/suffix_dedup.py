@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import Workspace, keyed, utf8
+from ._common import Workspace, in_arrow, keyed, utf8
 
 THRESHOLD, GRAM = 100, 32
 #: Bytes that are ranked at once: bounds a task's memory, and longer texts go in overlapping parts.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 #: Windows that are compared with each other before they are sent.
 WINDOWS = 100_000
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
@@ -76,8 +76,9 @@ def anchors(data: np.ndarray, starts: np.ndarray, threshold: int = THRESHOLD) ->
         return empty, empty, empty, empty, empty.astype(np.uint64)
     gram = names(data)
     span = threshold - GRAM + 1
-    # The leftmost smallest name: position in the low bits, so that ties go left.
-    low = np.uint64(max(1, int(n).bit_length()))
+    # The leftmost smallest name: position in the low bits, so that ties go left. As many bits in
+    # every part, so that equal windows compare the same bits of their names wherever they stand.
+    low = np.uint64((2 * CHUNK + THRESHOLD).bit_length())
     order = (gram >> low << low) | np.arange(len(gram), dtype=np.uint64)
     blocks = -(-len(order) // span)
     table = np.full(blocks * span, np.iinfo(np.uint64).max, np.uint64)
@@ -136,7 +137,7 @@ def spans(rows: DataFrame, ws: Workspace, threshold: int = THRESHOLD, text: str
                     [pa.array(keys[t]), pa.array(lo + offsets[t] - starts[t]), pa.array(((place - lo) << 16 | last - lo).astype(np.int32)), pa.array(name.view(np.int64))], names=["doc", "lo", "shape", "name"]
                 )
 
-    found = ws.save(raw.mapInArrow(positions, "doc long, lo long, shape int, name long"), "positions")
+    found = ws.save(in_arrow(raw, positions, "doc long, lo long, shape int, name long"), "positions")
     repeated = found.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("name")
     live = ws.save(found.join(repeated, "name", "left_semi").select("doc", "lo", "shape"), "live")
     ws.drop(found)
@@ -162,7 +163,7 @@ def spans(rows: DataFrame, ws: Workspace, threshold: int = THRESHOLD, text: str
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(docs)), pa.array(np.concatenate(los)), pa.array(np.concatenate(shapes)), *longs], names=["doc", "lo", "shape", "name", "stretch", "right", "left"])
 
     stops = live.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("lo", "shape"))).alias("stops"))
-    ranked = raw.join(stops, "doc").select("doc", "raw", "stops").mapInArrow(ranks, "doc long, lo long, shape int, name long, stretch long, right long, left long")
+    ranked = in_arrow(raw.join(stops, "doc").select("doc", "raw", "stops"), ranks, "doc long, lo long, shape int, name long, stretch long, right long, left long")
     ranked = ws.save(ranked, "ranked")
     ws.drop(live)
 
@@ -212,7 +213,7 @@ def spans(rows: DataFrame, ws: Workspace, threshold: int = THRESHOLD, text: str
             yield combined(docs, starts, digests)
 
     # What is known to be later is dealt out by itself, so that a passage in very many texts meets once a batch.
-    single = texts.mapInArrow(windows, "doc long, lo long, w1 long, w2 long, later boolean")
+    single = in_arrow(texts, windows, "doc long, lo long, w1 long, w2 long, later boolean")
     single = single.withColumn("deal", F.when(F.col("later"), F.xxhash64("doc", "lo")).otherwise(F.lit(0)))
     place = F.row_number().over(W.partitionBy("w1", "w2", "deal").orderBy("doc", "lo"))
     later = single.withColumn("place", place).where(F.col("later") | (F.col("place") > 1))
@@ -274,7 +275,7 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
                     digest.append(hashlib.sha256(cut(raw, runs)).hexdigest())
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, pa.int64()) for c in (size, gone, count)), pa.array(digest, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return rows.mapInArrow(of, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return in_arrow(rows, of, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
@@ -294,4 +295,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             arrays = [pa.array(new, pa.string()) if i == at else batch.column(i) for i in range(len(columns))]
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return rows.mapInArrow(of, ", ".join(f"`{n}` {t}" for n, t in docs.dtypes))
+    return in_arrow(rows, of, ", ".join(f"`{n}` {t}" for n, t in docs.dtypes))
