@@ -77,6 +77,8 @@ class Settings:
     """Where things lie, and the limits in force. Folders may be on any file system that Spark reads."""
 
     root: str = "."
+    #: Where the splits lie; ``root`` itself if None.
+    data_root: str | None = None
     index_root: str | None = None
     limits: Limits = field(default_factory=Limits.base)
     cascade_limits: Limits = field(default_factory=Limits.cascade)
@@ -85,14 +87,15 @@ class Settings:
 
     @classmethod
     def from_env(cls, **changes) -> Settings:
-        """BER_ROOT is the data folder, BER_INDEX the index folder (beside the data if unset)."""
-        return replace(cls(root=os.environ.get("BER_ROOT", "."), index_root=os.environ.get("BER_INDEX")), **changes)
+        """The splits lie in ``dataset`` under BER_ROOT; BER_INDEX is the folder (not a file) of the index, under BER_ROOT if unset."""
+        root = os.environ.get("BER_ROOT", ".")
+        return replace(cls(root=root, data_root=f"{root}/dataset", index_root=os.environ.get("BER_INDEX")), **changes)
 
     def source(self, split: str, number: int) -> str:
-        return f"{self.root}/{split}/{split}_source{number}.tsv"
+        return f"{self.data_root or self.root}/{split}/{split}_source{number}.tsv"
 
     def truth(self) -> str:
-        return f"{self.root}/train/train_ground_truth.tsv"
+        return f"{self.data_root or self.root}/train/train_ground_truth.tsv"
 
     def index(self, split: str) -> str:
         return f"{self.index_root or self.root + '/index'}/{split}"
