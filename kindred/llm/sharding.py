@@ -100,9 +100,12 @@ def sharded(docs: DataFrame, shards: int = 16, seed: int = 7, doc_id: str = "doc
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, seed: int = 7, doc_id: str = "doc_id", text: str = "text") -> None:
-    """Write the shards as Parquet folders __shard=N, each sorted by slot within its files."""
+    """Write the shards as Parquet folders __shard=N: a file holds whole buckets, its rows in the order of __slot.
+
+    The files of a shard hold ranges of slots one after another, so no task needs a whole shard.
+    """
     out = sharded(docs, shards, seed, doc_id, text)
-    out.repartition(shards, "__shard").sortWithinPartitions("__shard", "__slot").write.partitionBy("__shard").parquet(path)
+    out.sortWithinPartitions("__shard", "__slot").write.partitionBy("__shard").parquet(path)
 
 
 def shard_report(docs: DataFrame, shards: int = 16, seed: int = 7, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,10 +1,10 @@
 """URL filter, BPE, embeddings, media, sharding and quality, with the odd cases of each."""
 
 import hashlib
-import sys
-import subprocess
-import os
 import io
+import os
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
