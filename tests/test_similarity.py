@@ -1,3 +1,5 @@
+import itertools
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -72,3 +74,21 @@ def test_columns(spark):
     assert [round(r[0], 4) for r in rows.select(S.best_lexical("a", "b")).collect()][0] == 1.0
     sets = spark.createDataFrame([(["a", "b"], ["b", "c"]), ([], ["a"])], "a array<string>, b array<string>")
     assert [r[0] for r in sets.select(S.set_jaccard("a", "b")).collect()] == [pytest.approx(1 / 3), 0.0]
+
+
+def test_trigrams_need_no_python(spark):
+    """Short strings too, as the kernel has it; all pairs of strings of up to three letters and some longer ones."""
+    words = ["", *("".join(x) for n in (1, 2, 3) for x in itertools.product("ab", repeat=n)), "a b", "abcab", "b aab c", "\u00e9a", "x\u00e9ab"]
+    rows = spark.createDataFrame([(a, b) for a in words for b in words], "a string, b string")
+    scored = rows.withColumn("got", S.char_jaccard("a", "b"))
+    assert "Python" not in scored._jdf.queryExecution().executedPlan().toString()
+
+    def expected(a, b):
+        x, y = a.replace(" ", ""), b.replace(" ", "")
+        if len(x) < 3 or len(y) < 3:
+            return S.ratio(x, y)
+        x, y = ({t[i : i + 3] for i in range(len(t) - 2)} for t in (x, y))
+        return len(x & y) / len(x | y)
+
+    for a, b, got in scored.collect():
+        assert abs(got - expected(a, b)) < 1e-12, (a, b)
