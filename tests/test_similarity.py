@@ -1,5 +1,7 @@
 import itertools
+import random
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -92,3 +94,17 @@ def test_trigrams_need_no_python(spark):
 
     for a, b, got in scored.collect():
         assert abs(got - expected(a, b)) < 1e-12, (a, b)
+
+
+def test_batches_score_as_the_kernels_do(monkeypatch):
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choice("abcdé") for _ in range(draw.randint(1, 9)))
+    text = lambda: " ".join(word() for _ in range(draw.choice([0, 1, 2, 3, 5, 16])))
+    a, b = ([text() for _ in range(1500)] + extra for extra in (["a" * 64, "a" * 65, "x\0", "", "ab" * 600], ["a" * 64, "a" * 70, "\0x", "", "ba" * 600]))
+    lcs = S.lcs_length
+    assert S.lcs_lengths(a, b).tolist() == [lcs(*p) for p in zip(a, b)]
+    got = S._scores(pd.Series([*a, None]), pd.Series([*b, "a"]), list(S.KERNELS))
+    assert got.values.tolist() == [[k(x, y) for k in S.KERNELS.values()] for x, y in [*zip(a, b), ("", "a")]]
+    # Strings of up to 64 letters are not aligned pair by pair.
+    monkeypatch.setattr(S, "lcs_length", None)
+    assert S.ratios(["abc"], ["bcd"]) == [4 / 6]
