@@ -253,12 +253,29 @@ def meetings(nodes: DataFrame, ws: Workspace) -> DataFrame:
     return out
 
 
+def simhash_links(nodes: DataFrame, rows: DataFrame, ws: Workspace, key: str, text: str, width: int, similarity: float) -> DataFrame:
+    """(u, v): nodes whose SimHash fingerprints link (``link_fingerprints``) and whose shingle sets are similar.
+
+    Each fingerprint is met by its smallest node, with which the others of that fingerprint are compared.
+    """
+    fps = ws.save(fingerprints(rows.join(nodes.select(F.col("id").alias(key)), key, "left_semi"), key, text, width), "fingerprints")
+    least = fps.groupBy("fp").agg(F.min("id").alias("least"))
+    found = ws.save(link_fingerprints(least.select("fp")), "found")
+    links = found.where(F.col("other").isNotNull()).select(F.col("fp").alias("a"), F.col("other").alias("b")).unionAll(hot_links(found))
+    of = lambda x, node: least.select(F.col("fp").alias(x), F.col("least").alias(node))
+    pairs = links.join(of("a", "u"), "a").join(of("b", "v"), "b").select("u", "v").unionAll(fps.join(least, "fp").where("id <> least").select("id", "least"))
+    out = _similar(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), rows, ws, key, text, width, similarity)
+    ws.drop(fps, found)
+    return out
+
+
 def near_copies(rows: DataFrame, ws: Workspace, key: str, text: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, root): every row that has a near copy, with the smallest row key among its linked ones; roots excepted.
 
     Near copies are texts whose sets of ``width``-word shingles have a Jaccard similarity of
-    ``similarity`` or more; candidates share a shingle of their prefixes (``signature``), which all
-    such pairs do, and every link is verified on the shingles. Texts of equal sets are one node. A
+    ``similarity`` or more. Candidates are those whose SimHash fingerprints link (``simhash_links``), and, as
+    that loses some, those that share a shingle of their prefixes (``signature``), which all
+    such pairs do; every link is verified on the shingles. Texts of equal sets are one node. A
     bucket's members are first compared with its most central owner only (the one whose keys most
     others have), so a bucket of very many near copies costs about as many rows as members. What is
     left are buckets of several components: the members of the component that most belong to
@@ -271,6 +288,7 @@ def near_copies(rows: DataFrame, ws: Workspace, key: str, text: str = "text", wi
     prints = ws.save(prints_of(rows, key, text, width, similarity), "prints")
     members = ws.save(prints.select("id", "d0", "d1").join(prints.groupBy("d0", "d1").agg(F.min("id").alias("node")), ["d0", "d1"]).select("id", "node"), "members")
     nodes = prints.join(members.where("id <> node"), "id", "left_anti")
+    by_simhash = simhash_links(nodes, rows, ws, key, text, width, similarity)
     found = meetings(nodes, ws)
     # Who meets no one needs no more columns. The bitmap folded to 64 bits goes with every meeting.
     info = ws.save(nodes.join(found.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("node"), "size", *names), "info")
@@ -296,11 +314,11 @@ def near_copies(rows: DataFrame, ws: Workspace, key: str, text: str = "text", wi
         parts = rooted.groupBy("k", "root").agg(F.count("*").alias("c")).groupBy("k").agg(F.count("*").alias("m"), F.max_by("root", F.struct("c", "root")).alias("main"))
         return roots, rooted, parts.where("m > 1").select("k", "main")
 
-    # First each bucket's most central owner with all that meet there.
+    # First, beside what SimHash has linked, each bucket's most central owner with all that meet there.
     sizes = meet.where("own").groupBy("k").agg(F.count("*").alias("n"))
     weights = meet.where("own").join(sizes, "k").groupBy("node").agg(F.sum("n").alias("weight"))
     best = meet.where("own").join(weights, "node").groupBy("k").agg(F.max(F.struct("weight", -F.col("node"), F.col("node").alias("v"), F.col("size").alias("vsize"), F.col("s").alias("vs"))).alias("best"))
-    links = linked(meet.join(best.select("k", "best.v", "best.vsize", "best.vs"), "k").where((F.col("node") != F.col("v")) & alike))
+    links = by_simhash.unionAll(linked(meet.join(best.select("k", "best.v", "best.vsize", "best.vs"), "k").where((F.col("node") != F.col("v")) & alike)))
 
     # Then, for those that this hasn't joined to a bucket's main component, any one of that component.
     roots, rooted, parts = joined(links)

@@ -51,3 +51,16 @@ def test_line_dedup_rows_equal_a_plain_recomputation(spark, small):
     want = {r.doc_id: r.text and "\n".join(x for x in r.text.split("\n") if (r.source, x.strip(" ")) not in bad) for r in rows}
     got = {r.doc_id: r.text for r in P.drop_boilerplate(spark, docs, small).collect()}
     assert got == want and got != {r.doc_id: r.text for r in rows}
+
+
+def test_near_dedup_links_by_simhash(spark, monkeypatch):
+    """Long texts of which one word differs are linked by their fingerprints, without any prefix that they share."""
+    from kindred.llm import simhash
+
+    def text(n, changed=None):
+        return " ".join("other" if i == changed else f"w{n}x{i}" for i in range(2000))
+
+    rows = [(1, text(1)), (2, text(1, 1999)), (3, text(2)), (4, text(2, 0)), (5, text(3)), (6, text(1))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(simhash, "meetings", lambda nodes, ws: ws.save(nodes.limit(0).selectExpr("0L AS k", "id AS node", "true AS own"), "none"))
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == [1, 3, 5]
