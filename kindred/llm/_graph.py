@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Workspace
+from ._common import Workspace, merged
 
 
 def _is_star(edges: DataFrame) -> bool:
@@ -31,10 +31,10 @@ def components(links: DataFrame, ws: Workspace) -> DataFrame:
     while not _is_star(edges):
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(merged(low), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = ws.save(large, "large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = large.join(merged(low), "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = ws.save(moved.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "small")
         ws.drop(edges, large)
         edges = small

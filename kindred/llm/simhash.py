@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Workspace, in_arrow, keyed, map_arrow, utf8
+from ._common import Workspace, in_arrow, keyed, map_arrow, merged, utf8
 from ._graph import components
 
 RADIUS = 2
@@ -85,11 +85,11 @@ def link_fingerprints(fps: DataFrame, bucket: int = 64) -> DataFrame:
     part = lambda seg, value: F.struct(F.lit(seg).alias("seg"), value.alias("val"))
     table = fps.select("fp", F.inline(F.array(part(0, high), part(1, low))))
     counts = table.groupBy("seg", "val").agg(F.count("*").alias("n"))
-    members = table.join(counts.where(F.col("n") <= bucket), ["seg", "val"]).select("seg", "val", F.col("fp").alias("other"))
+    members = table.join(merged(counts.where(F.col("n") <= bucket)), ["seg", "val"]).select("seg", "val", F.col("fp").alias("other"))
     markers = counts.where(F.col("n") > bucket).select("seg", "val", F.lit(None).cast("long").alias("other"))
     ball = [part(0, high), *(part(0, high.bitwiseXOR(F.lit(1 << i))) for i in range(32)), part(1, low)]
     probes = fps.select("fp", F.inline(F.array(*ball)))
-    found = probes.join(members.unionAll(markers), ["seg", "val"]).where(F.col("other").isNull() | ((F.col("fp") < F.col("other")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= RADIUS)))
+    found = probes.join(merged(members.unionAll(markers)), ["seg", "val"]).where(F.col("other").isNull() | ((F.col("fp") < F.col("other")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= RADIUS)))
     return found.select("fp", "other")
 
 
@@ -115,10 +115,10 @@ def classes(docs: DataFrame, ws: Workspace, key: str = "doc_id", text: str = "te
     links = found.where(F.col("other").isNotNull()).select(F.col("fp").alias("u"), F.col("other").alias("v")).unionAll(hot_links(found))
     roots = components(links, ws)
     ws.drop(found)
-    labelled = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    labelled = nodes.join(merged(roots), nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component"))
-    by_fp = ws.save(labelled.join(least, "root").select("fp", "component"), "components")
-    return rows.join(by_fp, "fp").select("id", "fp", "component")
+    by_fp = ws.save(labelled.join(merged(least), "root").select("fp", "component"), "components")
+    return rows.join(merged(by_fp), "fp").select("id", "fp", "component")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:

@@ -266,3 +266,12 @@ def test_sum_of_squares_chooses_the_least(spark):
     for piece in left:
         sums[piece[4]] += len(piece[2]) // 4
     assert sum(v < 64 for v in sums.values()) <= 1
+
+
+def test_fingerprint_joins_are_never_broadcast(spark, small):
+    """The files of fingerprints are small, what the driver would build of them isn't."""
+    ws = Workspace(spark, "joins")
+    fps = ws.save(simhash.fingerprints(documents(spark, small)).select("fp").distinct(), "fps")
+    for df in (simhash.link_fingerprints(fps), simhash.near_duplicates(documents(spark, small))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
