@@ -153,6 +153,14 @@ def shingle_hashes(raw: bytes, width: int) -> np.ndarray:
     return np.fromiter((digest(joined[s:e], 42) for s, e in zip(starts[:n].tolist(), last.tolist())), np.uint64, n)
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The ``fingerprint`` of a text with these hashes of shingles."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), BLOCK):
+        counts += np.unpackbits(hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(sum(1 << i for i in np.flatnonzero(2 * counts > len(hashes)).tolist()))
+
+
 def at_least(share: float, n: int) -> int:
     """The smallest whole number that is ``share`` of n or more."""
     return math.ceil(share * n - 1e-9)
@@ -166,7 +174,11 @@ def signature(raw: bytes, width: int, similarity: float, common: np.ndarray) ->
     and ``2 * similarity / (1 + similarity) * n`` with one that isn't smaller. So of two
     similar sets the larger one probes a key that the smaller one owns.
     """
-    found = np.unique(shingle_hashes(raw, width))
+    return _signature(shingle_hashes(raw, width), similarity, common)
+
+
+def _signature(hashes: np.ndarray, similarity: float, common: np.ndarray) -> tuple[bytes, int, bytes, np.ndarray, int]:
+    found = np.unique(hashes)
     n = len(found)
     odd = np.bincount((found & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
     parity = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
@@ -212,7 +224,7 @@ def _apart(left: str, right: str, words: int) -> Column:
 
 
 def prints_of(rows: DataFrame, key: str, text: str, width: int, similarity: float) -> DataFrame:
-    """(id, d0, d1, size, f0 ..., probes, owned) of every row: the ``signature`` in columns."""
+    """(id, d0, d1, size, fp, f0 ..., probes, owned) of every row: the SimHash fingerprint and the ``signature`` in columns."""
     sent = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, text, width))
     names = [f"f{w}" for w in range(PARITY)]
 
@@ -224,17 +236,18 @@ def prints_of(rows: DataFrame, key: str, text: str, width: int, similarity: floa
                 out = []
                 for raw in part.column(1).to_pylist():
                     if raw not in seen:
-                        seen[raw] = signature(raw, width, similarity, sent.value)
+                        hashes = shingle_hashes(raw, width)
+                        seen[raw] = (*_signature(hashes, similarity, sent.value), majority(hashes))
                     out.append(seen[raw])
                 digests = np.frombuffer(b"".join(x[0] for x in out), np.int64).reshape(len(out), 2)
                 parity = np.frombuffer(b"".join(x[2] for x in out), np.int64).reshape(len(out), PARITY)
-                columns = [digests[:, 0], digests[:, 1], np.array([x[1] for x in out]), *(parity[:, w] for w in range(PARITY))]
+                columns = [digests[:, 0], digests[:, 1], np.array([x[1] for x in out]), np.array([x[5] for x in out], np.uint64).view(np.int64), *(parity[:, w] for w in range(PARITY))]
                 probes = pa.array([x[3] for x in out], pa.list_(pa.int64()))
                 owned = pa.array([x[4] for x in out], pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(np.ascontiguousarray(c)) for c in columns), probes, owned], names=["id", "d0", "d1", "size", *names, "probes", "owned"])
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(np.ascontiguousarray(c)) for c in columns), probes, owned], names=["id", "d0", "d1", "size", "fp", *names, "probes", "owned"])
 
     source = rows.select(F.col(key).alias("id"), utf8(text).alias("raw"))
-    return in_arrow(source, hashed, f"id long, d0 long, d1 long, size long, {', '.join(f'{n} long' for n in names)}, probes array<long>, owned int")
+    return in_arrow(source, hashed, f"id long, d0 long, d1 long, size long, fp long, {', '.join(f'{n} long' for n in names)}, probes array<long>, owned int")
 
 
 def meetings(nodes: DataFrame, ws: Workspace) -> DataFrame:
@@ -254,11 +267,11 @@ def meetings(nodes: DataFrame, ws: Workspace) -> DataFrame:
 
 
 def simhash_links(nodes: DataFrame, rows: DataFrame, ws: Workspace, key: str, text: str, width: int, similarity: float) -> DataFrame:
-    """(u, v): nodes whose SimHash fingerprints link (``link_fingerprints``) and whose shingle sets are similar.
+    """(u, v): nodes (id, fp, ...) whose SimHash fingerprints link (``link_fingerprints``) and whose shingle sets are similar.
 
     Each fingerprint is met by its smallest node, with which the others of that fingerprint are compared.
     """
-    fps = ws.save(fingerprints(rows.join(nodes.select(F.col("id").alias(key)), key, "left_semi"), key, text, width), "fingerprints")
+    fps = ws.save(nodes.select("id", "fp"), "fingerprints")
     least = fps.groupBy("fp").agg(F.min("id").alias("least"))
     found = ws.save(link_fingerprints(least.select("fp")), "found")
     links = found.where(F.col("other").isNotNull()).select(F.col("fp").alias("a"), F.col("other").alias("b")).unionAll(hot_links(found))

@@ -275,3 +275,10 @@ def test_fingerprint_joins_are_never_broadcast(spark, small):
     for df in (simhash.link_fingerprints(fps), simhash.near_duplicates(documents(spark, small))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_prints_hold_the_fingerprint(spark):
+    """Near-dedup takes fingerprints from its one pass over the texts, and reads no text to link them."""
+    docs = odd(spark).where("doc_id is not null").select("doc_id", "text").distinct()
+    prints = simhash.prints_of(docs, "doc_id", "text", 5, 0.8)
+    assert sorted(map(tuple, prints.select("id", "fp").collect())) == sorted(map(tuple, simhash.fingerprints(docs, width=5).collect()))
