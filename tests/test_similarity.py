@@ -108,3 +108,26 @@ def test_batches_score_as_the_kernels_do(monkeypatch):
     # Strings of up to 64 letters are not aligned pair by pair.
     monkeypatch.setattr(S, "lcs_length", None)
     assert S.ratios(["abc"], ["bcd"]) == [4 / 6]
+
+
+def test_kernels_of_many_pairs_give_the_values_of_one_pair():
+    r = random.Random(7)
+    text = lambda: "".join(r.choice(r.choice(["ab ", "abc de", "aé✓ b𝄞", "a\0b "])) for _ in range(r.randint(0, r.choice([3, 30, 64, 70, 130, 270]))))
+    a, b = [text() for _ in range(600)], [text() for _ in range(600)]
+    for i in range(0, 600, 3):
+        b[i] = "".join(c for c in a[i] if r.random() < 0.9)
+    found = S._scores(pd.Series(a), pd.Series(b), list(S.KERNELS))
+    for name, one in S.KERNELS.items():
+        assert found[name].tolist() == [one(x, y) for x, y in zip(a, b)], name
+    assert S.partial_ratios(a, b) == [S.partial_ratio(x, y) for x, y in zip(a, b)]
+
+
+def test_far_lengths_are_scored_without_a_loop_over_windows(monkeypatch):
+    def one_by_one(*pair):
+        raise AssertionError(pair)
+
+    want = S.weighted_ratio("acme stores", "acme trading stores of the north")
+    for name in ("lcs_length", "partial_ratio", "weighted_ratio", "jaro_winkler"):
+        monkeypatch.setattr(S, name, one_by_one)
+    found = S._scores(pd.Series(["acme stores"]), pd.Series(["acme trading stores of the north"]), ["wratio", "jaro_winkler"])
+    assert found["wratio"].tolist() == [want]
