@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kindred.llm import line_dedup, packing, quality, simhash, suffix_dedup
-from kindred.llm._common import Workspace
+from kindred.llm._common import Workspace, give_back
 from kindred.llm.queries import table, tokenizer_file
 
 
@@ -25,16 +25,19 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    give_back(spark)
     return simhash.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents without passages of 100 bytes or more that stand earlier already."""
+    give_back(spark)
     return suffix_dedup.remove_repeats(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 tokens."""
+    give_back(spark)
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken"))
 
 
